@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sharding
+from . import decontam, oracles, sharding, simhash
 
 SHARDS = 8
 
@@ -15,11 +16,28 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op3_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op6_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(documents(spark, sf_dir), "doc_id", "text", SHARDS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_prefix_decontamination": op3_prefix_decontamination,
+    "op6_simhash_vantage_point": op6_simhash_vantage_point,
     "op8_jump_sharding": op8_jump_sharding,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_prefix_decontamination": oracles.DECONTAMINATION,
+}
