@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, oracles, sharding, simhash
+from . import decontam, oracles, quality, sharding, simhash, toxicity
 
 SHARDS = 8
 
@@ -20,6 +20,10 @@ def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 def op3_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
@@ -29,6 +33,14 @@ def op6_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+def op10_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
 def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(documents(spark, sf_dir), "doc_id", "text", SHARDS)
 
@@ -36,7 +48,9 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_prefix_decontamination": op3_prefix_decontamination,
     "op6_simhash_vantage_point": op6_simhash_vantage_point,
+    "op7_neighbour_quality": op7_neighbour_quality,
     "op8_jump_sharding": op8_jump_sharding,
+    "op10_compression_toxicity": op10_compression_toxicity,
 }
 ORACLES: dict[str, str] = {
     "op3_prefix_decontamination": oracles.DECONTAMINATION,
