@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, oracles, quality, sharding, simhash, toxicity
+from . import decontam, oracles, packing, quality, sharding, simhash, toxicity
 
 SHARDS = 8
 
@@ -24,6 +24,10 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def op1_dynamic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op3_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
@@ -46,6 +50,7 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_dynamic_packing": op1_dynamic_packing,
     "op3_prefix_decontamination": op3_prefix_decontamination,
     "op6_simhash_vantage_point": op6_simhash_vantage_point,
     "op7_neighbour_quality": op7_neighbour_quality,
@@ -53,5 +58,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_compression_toxicity": op10_compression_toxicity,
 }
 ORACLES: dict[str, str] = {
+    "op1_dynamic_packing": op1_dynamic_packing,
     "op3_prefix_decontamination": oracles.DECONTAMINATION,
 }
