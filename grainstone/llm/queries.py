@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, oracles, packing, quality, sharding, simhash, toxicity
+from . import decontam, oracles, packing, quality, recurrent, sharding, simhash, toxicity
 
 SHARDS = 8
 
@@ -32,6 +32,10 @@ def op3_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
 
+def op4_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent.score(documents(spark, sf_dir))
+
+
 def op6_simhash_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
@@ -52,6 +56,7 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_dynamic_packing": op1_dynamic_packing,
     "op3_prefix_decontamination": op3_prefix_decontamination,
+    "op4_recurrent_scores": op4_recurrent_scores,
     "op6_simhash_vantage_point": op6_simhash_vantage_point,
     "op7_neighbour_quality": op7_neighbour_quality,
     "op8_jump_sharding": op8_jump_sharding,
