@@ -18,3 +18,29 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+def licences(templates: dict[str, str], threshold: float) -> str:
+    """Dice coefficients of every line and text with every template."""
+    rows = ", ".join("({}, {})".format(*("'" + x.replace("'", "''") + "'" for x in item)) for item in templates.items())
+    low = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH t AS (SELECT name, {low.format("line")} AS w FROM (VALUES {rows}) AS v(name, line)),
+lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, false AS whole FROM documents
+  UNION ALL SELECT doc_id, text, true FROM documents WHERE contains(text, chr(10))),
+numbered AS (SELECT row_number() OVER () AS part, doc_id, {low.format("line")} AS w FROM lines),
+a AS (SELECT part, g, count(*) AS n FROM (SELECT part, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM numbered) GROUP BY ALL),
+b AS (SELECT name, g, count(*) AS n FROM (SELECT name, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM t) GROUP BY ALL),
+common AS (SELECT part, name, sum(least(a.n, b.n)) AS c FROM a JOIN b USING (g) GROUP BY ALL),
+hits AS (
+  SELECT doc_id, part, name, 2 * c / (len(numbered.w) - 1 + len(t.w) - 1) AS dice
+  FROM common JOIN numbered USING (part) JOIN t USING (name)
+  WHERE 2 * c / (len(numbered.w) - 1 + len(t.w) - 1) >= {threshold}),
+best AS (
+  SELECT doc_id, count(DISTINCT part) AS n_matches, first(name ORDER BY dice DESC, name) AS licence, max(dice) AS dice,
+         string_agg(DISTINCT name, ',' ORDER BY name) AS licences
+  FROM hits GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_matches, 0)::BIGINT AS n_matches, licence, coalesce(dice, 0)::DOUBLE AS dice, coalesce(licences, '') AS licences
+FROM documents d LEFT JOIN best USING (doc_id)
+"""

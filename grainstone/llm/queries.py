@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, oracles, packing, quality, recurrent, sharding, simhash, toxicity
+from . import chat, decontam, licences, oracles, packing, quality, recurrent, sharding, simhash, tiff, toxicity
 
 SHARDS = 8
 
@@ -28,6 +28,18 @@ def op1_dynamic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op2_tiff_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiff.media_digest(documents(spark, sf_dir))
+
+
+def op5_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op9_licence_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(documents(spark, sf_dir))
+
+
 def op3_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
 
@@ -55,14 +67,17 @@ def op8_jump_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_dynamic_packing": op1_dynamic_packing,
+    "op2_tiff_media": op2_tiff_media,
     "op3_prefix_decontamination": op3_prefix_decontamination,
     "op4_recurrent_scores": op4_recurrent_scores,
+    "op5_chat_repair": op5_chat_repair,
     "op6_simhash_vantage_point": op6_simhash_vantage_point,
     "op7_neighbour_quality": op7_neighbour_quality,
     "op8_jump_sharding": op8_jump_sharding,
+    "op9_licence_dice": op9_licence_dice,
     "op10_compression_toxicity": op10_compression_toxicity,
 }
 ORACLES: dict[str, str] = {
-    "op1_dynamic_packing": op1_dynamic_packing,
     "op3_prefix_decontamination": oracles.DECONTAMINATION,
+    "op9_licence_dice": oracles.licences(licences.TEMPLATES, licences.THRESHOLD),
 }
