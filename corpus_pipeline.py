@@ -1,15 +1,71 @@
-"""Corpus cleaning as stages, each reading what the one before it wrote."""
+"""Corpus cleaning in five stages, each reading what the one before it wrote."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES = []
+from grainstone.llm import decontam, packing, quality, simhash, toxicity
+from grainstone.llm.labelled import remainder
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the nearest-neighbour classifier takes for good.
+
+    It is fitted on the labelled rows of the whole documents table whose key's remainder mod
+    3 isn't 1, as in the query of that operator, and scores every row of docs.
+    """
+    model = quality.fit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
+    return quality.keep(docs, model, 1).select(COLUMNS)
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that compression with the toxic dictionary doesn't give away."""
+    model = toxicity.fit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), remainder("doc_id", 5) != 0)
+    return toxicity.keep(docs, model, 0).select(COLUMNS)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest key of each SimHash component."""
+    return simhash.representatives(docs).select(COLUMNS)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item."""
+    return decontam.clean(docs, _table(spark, sf_dir, "benchmark")).select(COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("toxicity", drop_toxic),
+    ("simhash near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
+#: The classifiers and the fingerprints can't be put in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    """All stages over the documents table, each written as Parquet in the shared folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="pipeline-")
+    docs = _table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        path = f"{folder.rstrip('/')}/pipeline-{uuid.uuid4().hex}-{i}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

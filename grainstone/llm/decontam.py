@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..cluster import ship_code
-from .words import alnum_words, runs
+from .words import alnum_words, filter_rows, runs
 
 WINDOW = 10
 #: The benchmark's text that is broadcast at once; a larger benchmark is taken in parts.
@@ -178,21 +178,36 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     """
     ship_code(docs.sparkSession)
     docs = docs.select(F.col(key).alias("k"), F.col("text"))
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item")), F.lit(0))).first()[0]
-    parts = max(1, -(-size // part_bytes))
     kind = docs.schema["k"].dataType.simpleString()
-    if parts == 1:
-        return _whole(docs, _index(docs, [(r.item, bytes(r.text)) for r in items.collect()], window), kind).withColumnRenamed("k", key)
-    dealt = items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(parts)))
+    parts = _parts(benchmark, part_bytes)
     hits = None
-    for p in range(parts):
-        own = [(r.item, bytes(r.text)) for r in dealt.where(F.col("part") == p).collect()]
-        found = _hits(docs, _index(docs, own, window), kind)
+    for own in parts:
+        held = _index(docs, own(), window)
+        if len(parts) == 1:
+            return _whole(docs, held, kind).withColumnRenamed("k", key)
+        found = _hits(docs, held)
         hits = found if hits is None else hits.unionByName(found)
     return _merged(docs, hits).withColumnRenamed("k", key)
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
+    """The rows of docs, all columns, that have no window of any benchmark item."""
+    ship_code(docs.sparkSession)
+    for own in _parts(benchmark, part_bytes):
+        held = _index(docs, own(), window)
+        docs = filter_rows(docs, lambda texts, held=held: [not x for x in _found(held.value, texts)[3]])
+    return docs
+
+
+def _parts(benchmark: DataFrame, part_bytes: int):
+    """The benchmark's items in parts of about part_bytes, each a function that collects it."""
+    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.octet_length("item")), F.lit(0))).first()[0]
+    n = max(1, -(-size // part_bytes))
+    dealt = items.withColumn("part", F.pmod(F.xxhash64("item", "text"), F.lit(n)))
+    return [lambda p=p: [(r.item, bytes(r.text)) for r in dealt.where(F.col("part") == p).collect()] for p in range(n)]
+
+
 def _whole(docs: DataFrame, held, kind: str) -> DataFrame:
     def find(batches):
         index = held.value
@@ -217,7 +232,7 @@ def _whole(docs: DataFrame, held, kind: str) -> DataFrame:
     return docs.mapInArrow(find, f"k {kind}, {RESULT}")
 
 
-def _hits(docs: DataFrame, held, kind: str) -> DataFrame:
+def _hits(docs: DataFrame, held) -> DataFrame:
     """Documents that have hits: digest of key and text, hit places as runs, items."""
 
     def find(batches):

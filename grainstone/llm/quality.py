@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage, ship_code
 from .labelled import remainder, sample
-from .words import runs, space_words
+from .words import filter_rows, runs, space_words
 
 #: Labelled rows of each class, at most. Their vectors, 2 * SAMPLE * DIMS numbers, and a
 #: projection of TERMS * DIMS numbers are all that is broadcast.
@@ -172,6 +172,13 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", held_out=None) ->
     return rows.mapInArrow(run, f"k {kind}, held_out boolean, score double, predicted int").withColumnRenamed("k", key)
 
 
+def keep(docs: DataFrame, model: Model, value: int = 1) -> DataFrame:
+    """The rows of docs, all columns, whose predicted label is `value`."""
+    ship_code(docs.sparkSession)
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(docs, lambda texts: (held.value.score(texts) >= 0.5) == bool(value))
+
+
 def classify(docs: DataFrame, labels: DataFrame, mod: int = 3, out: int = 1, source: DataFrame | None = None) -> DataFrame:
     """Fit on labels whose key's remainder isn't `out`, and score all docs.
 

@@ -19,8 +19,10 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..cluster import cut_lineage, ship_code
 from .components import components
@@ -216,13 +218,55 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS,
     """
     told = cut_lineage(fingerprints(docs, key, size))
     points = cut_lineage(told.groupBy("fp").agg(F.min(key).alias("least")))
-    found = components(edges_within(points, radius))
-    labelled = points.join(found, points.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    labelled = _labelled(points, radius)
     heads = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     known = labelled.join(heads, "component").select("fp", "component_id")
     return told.join(known, "fp").select(key, "fp", "component_id")
 
 
+def _labelled(points: DataFrame, radius: int) -> DataFrame:
+    """points (fp, least) with the component of each fingerprint."""
+    found = components(edges_within(points, radius))
+    return points.join(found, points.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with a number for each row, by partition and place: the same whenever the same
+    files are read again."""
+
+    def run(batches):
+        at = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(at, at + len(batch)))], [*batch.schema.names, "__row"])
+            at += len(batch)
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__row", LongType())]))
+
+
+def representatives(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+    """One row, with all columns, of each component: that with the smallest key, null keys
+    last, and of rows with that key the first read.
+
+    docs has to be a table that gives the same rows when it is read twice.
+    """
+    ship_code(docs.sparkSession)
+    kind = dict(docs.dtypes)[key]
+
+    def run(batches):
+        at = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for rows, texts in runs(batch):
+                own = np.arange(at, at + len(texts))
+                at += len(texts)
+                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fingerprint_batch(texts, size).view(np.int64)), pa.array(own)], ["k", "fp", "row"])
+
+    told = docs.select(F.col(key).alias("k"), F.col("text")).mapInArrow(run, f"k {kind}, fp long, row long")
+    first = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("least")
+    points = cut_lineage(told.groupBy("fp").agg(first))
+    heads = _labelled(points, radius).groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
+    return _numbered(docs).join(heads, "__row", "left_semi").drop("__row")
+
+
 def hex_digits(fp):
     """A fingerprint column as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage, ship_code
 from .labelled import fit_logistic, logistic, remainder, sample
-from .words import alnum_words, runs
+from .words import alnum_words, filter_rows, runs
 
 #: Labelled rows of each class that the dictionaries and the curve are fitted on, at most.
 SAMPLE = 4000
@@ -61,6 +61,13 @@ class Model:
 
         return of(self.ordinary), of(self.toxic)
 
+    def score(self, texts: list[bytes]) -> np.ndarray:
+        """How likely each text is toxic."""
+        if not self.toxic:
+            return np.full(len(texts), self.base)
+        pair = self.compressors()
+        return logistic(np.array([features(t, *pair) for t in texts]), np.array(self.curve))
+
 
 def beginnings(text: bytes) -> dict[bytes, int]:
     """Beginnings of the text's words, with a mask of the 64 kinds of context they have."""
@@ -212,20 +219,23 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", held_out=None) ->
     """
     ship_code(docs.sparkSession)
     kind = dict(docs.dtypes)[key]
-    fitted = bool(model.toxic)
 
     def run(batches):
-        pair = model.compressors() if fitted else None
-        curve = np.array(model.curve)
         for batch in batches:
             for part, texts in runs(batch):
-                s = logistic(np.array([features(t, *pair) for t in texts]), curve) if fitted else np.full(len(texts), model.base)
+                s = model.score(texts)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["k", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(key).alias("k"), "text", (F.lit(False) if held_out is None else held_out).alias("held_out"))
     return rows.mapInArrow(run, f"k {kind}, held_out boolean, score double, predicted int").withColumnRenamed("k", key)
 
 
+def keep(docs: DataFrame, model: Model, value: int = 0) -> DataFrame:
+    """The rows of docs, all columns, whose predicted label is `value`."""
+    ship_code(docs.sparkSession)
+    return filter_rows(docs, lambda texts: (model.score(texts) >= 0.5) == bool(value))
+
+
 def classify(docs: DataFrame, labels: DataFrame, mod: int = 5, out: int = 0, source: DataFrame | None = None) -> DataFrame:
     """Fit on labels whose key's remainder isn't `out`, and score all docs.
 

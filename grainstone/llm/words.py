@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _ALNUM = bytes(b if b in _KEEP else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
@@ -46,3 +48,14 @@ def runs(batch: pa.RecordBatch, column: str = "text", most: int = RUN_BYTES) ->
             start, size, found = i + 1, 0, []
     if found:
         yield batch.slice(start), found
+
+
+def filter_rows(docs: DataFrame, passes: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """The rows of docs, with all their columns, whose texts pass; passes gets texts in runs."""
+
+    def run(batches):
+        for batch in batches:
+            for part, texts in runs(batch):
+                yield part.filter(pa.array(np.asarray(passes(texts), bool)))
+
+    return docs.mapInArrow(run, docs.schema)
