@@ -36,7 +36,7 @@ from .words import runs, space_words
 CLASSES, IN_CLASS, HIDDEN = 32, 32, 16
 VOCAB = CLASSES * IN_CLASS
 SPLIT = 65536
-WINDOW, SEGMENT_WINDOWS, BATCH = 32, 2, 128
+WINDOW, SEGMENT_WINDOWS, BATCH = 32, 2, 256
 RATE = 0.15
 SCORE_BATCH, SCORE_WINDOW, SCORE_BYTES = 256, 64, 16 << 20
 #: Words a counting task holds before it hands them on.
@@ -86,10 +86,18 @@ class Network:
         for t, k in enumerate(live):
             a, p = h[:k], pre[t, :k]
             hu = a @ self.u
-            gates = 1 / (1 + np.exp(-(p[:, : 2 * H] + hu[:, : 2 * H])))
+            gates = p[:, : 2 * H] + hu[:, : 2 * H]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
             z, r = gates[:, :H], gates[:, H:]
-            n = np.tanh(p[:, 2 * H :] + r * hu[:, 2 * H :])
-            new = n + z * (a - n)
+            n = r * hu[:, 2 * H :]
+            n += p[:, 2 * H :]
+            np.tanh(n, out=n)
+            new = a - n
+            new *= z
+            new += n
             if keep:
                 memory.append((a.copy(), z, r, n, hu[:, 2 * H :]))
             h[:k] = new
@@ -104,8 +112,12 @@ class Network:
         """
         n = len(targets)
         own = targets // IN_CLASS
+        # States are within -1 and 1; while no exponent can overflow, none is shifted.
+        top = np.abs(states).max(initial=1)
+        shift = max(np.abs(self.cls).sum(0).max() * top + np.abs(self.cls_b).max(), np.abs(self.out).sum(1).max() * top + np.abs(self.out_b).max()) > 60
         logits = states @ self.cls + self.cls_b
-        logits -= logits.max(1, keepdims=True)
+        if shift:
+            logits -= logits.max(1, keepdims=True)
         np.exp(logits, out=logits)
         total = logits.sum(1)
         rows = np.arange(n)
@@ -127,7 +139,8 @@ class Network:
             block = self.out[low : low + IN_CLASS]
             s = states[at]
             q = s @ block.T + self.out_b[low : low + IN_CLASS]
-            q -= q.max(1, keepdims=True)
+            if shift:
+                q -= q.max(1, keepdims=True)
             np.exp(q, out=q)
             sums = q.sum(1)
             word = targets[at] - low

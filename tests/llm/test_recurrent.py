@@ -46,6 +46,15 @@ def test_probabilities_sum_to_one_and_windows_do_not_matter():
         assert np.allclose(net.score(texts, 0, window, batch), whole, rtol=1e-4, atol=1e-4)
 
 
+def test_large_weights_are_shifted():
+    net = tiny()
+    net.out *= 2000
+    net.cls *= 2000
+    s = np.random.default_rng(1).standard_normal((1, 5))
+    logs = net.log_probs(np.repeat(s, R.VOCAB, 0), np.arange(R.VOCAB))
+    assert not np.isnan(logs).any() and abs(np.exp(logs).sum() - 1) < 1e-9
+
+
 def test_training_lowers_the_loss():
     rng = np.random.default_rng(4)
     chain = rng.integers(0, 40, 40)
