@@ -270,9 +270,21 @@ def count_words(docs: DataFrame) -> DataFrame:
 
 
 def lexicon(counts: DataFrame) -> Lexicon:
-    """From the word counts. Without any, the lexicon is empty."""
+    """From the word counts. Without any, the lexicon is empty.
+
+    The frequent words are those above a count, the least for which SPLIT hold them all."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("w")).first()
-    top = [(bytes(r.w), r.n) for r in counts.where(F.col("w") != F.lit(b"")).orderBy(F.desc("n"), "w").limit(SPLIT).collect()]
+    words = counts.where(F.col("w") != F.lit(b""))
+    # How many words have each count: a table of few rows, as counts n differ at most
+    # sqrt(2 * tokens) times.
+    room, least = SPLIT, 0
+    for r in words.groupBy("n").agg(F.count(F.lit(1)).alias("many")).orderBy(F.desc("n")).toLocalIterator():
+        if r.many > room:
+            least = r.n
+            break
+        room -= r.many
+    top = [(bytes(r.w), r.n) for r in words.where(F.col("n") > least).collect()]
+    top.sort(key=lambda x: (-x[1], x[0]))
     ends = next((r.n for r in counts.where(F.col("w") == F.lit(b"")).collect()), 0)
     kept = top[: VOCAB - 2]
     other_n = total[0] - ends - sum(n for _, n in kept)
