@@ -35,7 +35,6 @@ AT_SENTENCE, INSIDE = 2.0, 24.0
 STEPS = 64
 #: Tokens that are cut into windows at once.
 RUN_TOKENS = 1 << 19
-_STOPS = frozenset(b".!?")
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, at_boundary boolean"
 
@@ -71,13 +70,10 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int) -> list[in
     return cuts[::-1]
 
 
-def document_places(words: list[bytes], lengths: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in a document, its end last, where it may be cut, and their penalties."""
-    ends = np.cumsum(lengths)
-    total = int(ends[-1]) + 1 if len(ends) else 1
-    stops = np.fromiter((w[-1] in _STOPS for w in words), bool, len(words))
-    at = np.append(ends[stops & (ends < total - 1)], total)
-    at = np.unique(at[at > 0])
+def document_places(ends: np.ndarray, total: int, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a document of `total` tokens, its end last, where it may be cut, and their
+    penalties; ends are the places, in order, where sentences end."""
+    at = np.append(ends[ends < total - 1], total)
     gaps = np.diff(np.append(0, at))
     step = max(1, window // STEPS)
     if (gaps <= step).all():
@@ -176,10 +172,12 @@ def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer:
             key_type = batch.schema.field(0).type
             for part, texts in runs(batch):
                 for k, text in zip(part.column(0).to_pylist(), texts):
-                    words, ids = ids_of.words(text)
-                    lengths = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+                    words = ids_of.words(text)
+                    ids = b"".join(words) + end
+                    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) >> 2
+                    ends = ends[ids_of.stops[np.frombuffer(ids, "<u4")[ends - 1]]]
                     keys.append(k)
-                    packer.add(len(keys) - 1, b"".join(ids) + end, *document_places(words, lengths, window))
+                    packer.add(len(keys) - 1, ids, *document_places(ends, len(ids) // 4, window))
                     if packer.size >= RUN_TOKENS:
                         yield from told(packer.flush(False))
                         keys = [keys[r] for r, *_ in packer.docs]

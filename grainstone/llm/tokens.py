@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 import threading
 
 import numpy as np
@@ -14,6 +15,10 @@ _HELD: dict[str, WordIds] = {}
 _LOCK = threading.Lock()
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds:
     """Ids of the words between ASCII white space, as little-endian unsigned 32-bit bytes.
 
@@ -26,48 +31,47 @@ class WordIds:
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.plain = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+        self.plain = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\xff]+").fullmatch
         letter = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
-        self.cut = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[0-9]|[^{letter}0-9]+")
+        self.cut = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[0-9]|[^{letter}0-9]+").findall
         #: The byte-level alphabet, asked of the tokenizer itself.
         chars = [chr(c) for c in (*range(33, 127), *range(0xC0, 0x100)) if chr(c) not in "\xd7\xf7"]
         byte_level = self.whole.pre_tokenizer
         self.alphabet = {ord(c): "".join(p for p, _ in byte_level.pre_tokenize_str(c)) for c in chars if not c.isupper()}
+        #: By id: whether a word that ends with this token ends a sentence.
+        vocabulary = self.whole.get_vocab(with_added_tokens=True)
+        self.stops = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, i in vocabulary.items():
+            self.stops[i] = token.removesuffix("</w>")[-1:] in (".", "!", "?") and token.endswith("</w>")
         self.kept: dict[bytes, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if self.plain.fullmatch(text):
-            ids: list[int] = []
-            for piece in self.cut.findall(text.lower()):
-                known = self.pieces.get(piece)
-                if known is None:
-                    known = [t.id for t in self.model.tokenize(piece.translate(self.alphabet))]
-                    if len(self.pieces) >= KEPT_WORDS:
-                        self.pieces.clear()
-                    self.pieces[piece] = known
-                ids += known
-        else:
-            ids = self.whole.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        if not self.plain(text):
+            return _packed(self.whole.encode(text, add_special_tokens=False).ids)
+        out, pieces = [], self.pieces
+        for piece in self.cut(text.lower()):
+            known = pieces.get(piece)
+            if known is None:
+                if len(pieces) >= KEPT_WORDS:
+                    pieces.clear()
+                known = pieces[piece] = _packed([t.id for t in self.model.tokenize(piece.translate(self.alphabet))])
+            out.append(known)
+        return b"".join(out)
 
-    def words(self, text: bytes) -> tuple[list[bytes], list[bytes]]:
-        """The text's words and their ids; a text with special tokens is one word."""
+    def words(self, text: bytes) -> list[bytes]:
+        """The ids of each of the text's words; a text with special tokens is one word."""
         if b"<|" in text:
             ids = self.whole.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
-            return [text], [np.array(ids, "<u4").tobytes()]
+            return [_packed(ids)]
         words = text.lower().split()
         kept = self.kept
         if len(kept) > KEPT_WORDS:
             kept.clear()
-        out = []
-        for w in words:
-            ids = kept.get(w)
-            if ids is None:
-                ids = kept[w] = self._word(w)
-            out.append(ids)
-        return words, out
+        for w in set(words).difference(kept):
+            kept[w] = self._word(w)
+        return list(map(kept.__getitem__, words))
 
 
 def held(path: str) -> WordIds:
