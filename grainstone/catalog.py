@@ -1,14 +1,334 @@
-"""The registered queries over Ion data, and DuckDB SQL with the same results."""
+"""The registered queries over Ion data, and DuckDB SQL with the same results.
+
+Each query writes a table as Ion and reads it back, so its rows pass the codec both ways.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions.sql import list_extract, register
+from .functions.to_ion import to_ion
+from .sources.reader import IonFrame, count_ion, read_ion
+from .sources.writer import write_ion
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def query(sql: str | None = None):
+    """Register a function under its name, with its DuckDB SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the folder that all machines share, or a local one in tests."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ion-")
+    return f"{base.rstrip('/')}/ion-{uuid.uuid4().hex}"
+
+
+def stored(spark: SparkSession, df: DataFrame, **options) -> str:
+    path = scratch(spark)
+    write_ion(df, path, **options)
+    return path
+
+
+LINES = {"format": "newline_delimited"}
+NATION = {"n_nationkey": "INTEGER", "n_name": "VARCHAR", "n_regionkey": "INTEGER"}
+PART = {"p_partkey": "BIGINT", "p_name": "VARCHAR", "p_brand": "VARCHAR", "p_type": "VARCHAR", "p_size": "INTEGER", "p_retailprice": "DOUBLE"}
+ORDERS = {"o_orderkey": "BIGINT", "o_custkey": "BIGINT", "o_orderstatus": "VARCHAR", "o_totalprice": "DOUBLE", "o_orderdate": "TIMESTAMP", "o_orderpriority": "VARCHAR"}
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy("o_orderpriority").count()
+    path = stored(spark, table(spark, sf_dir, "orders"))
+    return IonFrame(spark, path, **LINES).select("o_orderpriority").groupBy("o_orderpriority").agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM nation")
+def ion_text_roundtrip_nation(spark, sf_dir):
+    return read_ion(spark, stored(spark, table(spark, sf_dir, "nation")), columns=NATION)
+
+
+@query("SELECT * FROM part")
+def ion_text_roundtrip_part(spark, sf_dir):
+    return read_ion(spark, stored(spark, table(spark, sf_dir, "part")), columns=PART, **LINES)
+
+
+@query("SELECT r_regionkey::BIGINT AS r_regionkey, r_name FROM region")
+def ion_text_inferred_region(spark, sf_dir):
+    return read_ion(spark, stored(spark, table(spark, sf_dir, "region")))
+
+
+@query("SELECT * FROM orders")
+def ion_binary_roundtrip_orders(spark, sf_dir):
+    return read_ion(spark, stored(spark, table(spark, sf_dir, "orders"), binary=True), columns=ORDERS)
+
+
+@query("SELECT c_custkey, c_name, c_nationkey::BIGINT AS c_nationkey, c_acctbal::DECIMAL(18,3)::DOUBLE AS c_acctbal, c_mktsegment FROM customer")
+def ion_text_double_as_decimal(spark, sf_dir):
+    df = read_ion(spark, stored(spark, table(spark, sf_dir, "customer")))
+    assert dict(df.dtypes)["c_acctbal"] == "decimal(18,3)"
+    return df.withColumn("c_acctbal", F.col("c_acctbal").cast("double"))
+
+
+@query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def ion_exponent_floats_roundtrip_events(spark, sf_dir):
+    df = read_ion(spark, stored(spark, table(spark, sf_dir, "events"), floats="exponent"), **LINES)
+    return df.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("SELECT s_suppkey, s_name FROM supplier")
+def ion_array_roundtrip(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "supplier").coalesce(1), array=True)
+    return read_ion(spark, path, format="array", select=["s_suppkey", "s_name"])
+
+
+@query("SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier")
+def ion_binary_array_roundtrip(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "supplier").coalesce(1), array=True, binary=True)
+    return read_ion(spark, path, format="array", columns={"s_suppkey": "BIGINT", "s_nationkey": "INTEGER", "s_acctbal": "DOUBLE"})
+
+
+@query("SELECT r_name AS ion FROM region")
+def ion_scalar_mode(spark, sf_dir):
+    path = scratch(spark)
+    table(spark, sf_dir, "region").select(F.concat(F.lit('"'), "r_name", F.lit('"')).alias("value")).write.text(path)
+    return read_ion(spark, path, records=False)
+
+
+@query("SELECT n_nationkey::BIGINT AS n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey::BIGINT, n_name FROM nation")
+def ion_multi_file_glob(spark, sf_dir):
+    base = scratch(spark)
+    for i in range(2):
+        write_ion(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), f"{base}/{i}")
+    return read_ion(spark, f"{base}/*/*.txt")
+
+
+@query("SELECT r_regionkey::BIGINT AS a, NULL::VARCHAR AS b FROM region UNION ALL SELECT NULL, n_name FROM nation")
+def ion_union_by_name(spark, sf_dir):
+    one = stored(spark, table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("a")))
+    two = stored(spark, table(spark, sf_dir, "nation").select(F.col("n_name").alias("b")))
+    return read_ion(spark, [one, two], union_by_name=True)
+
+
+@query("SELECT r_regionkey::BIGINT AS a FROM region UNION ALL SELECT NULL FROM nation")
+def ion_missing_fields_null(spark, sf_dir):
+    one = stored(spark, table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("a")))
+    two = stored(spark, table(spark, sf_dir, "nation").select(F.col("n_name").alias("b")))
+    return read_ion(spark, [one, two])
+
+
+def _mixed(spark, sf_dir) -> str:
+    """Fields whose type differs from row to row."""
+    path = scratch(spark)
+    key = F.col("c_custkey")
+    odd = F.when(key % 3 == 0, key.cast("string")).when(key % 3 == 1, F.concat(F.lit('"n'), key, F.lit('"'))).otherwise(F.concat(F.lit("{k: "), key, F.lit("}")))
+    table(spark, sf_dir, "customer").select(F.concat(F.lit("{id: "), key, F.lit(", v: "), odd, F.lit("}")).alias("value")).write.text(path)
+    return path
+
+
+@query("SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN c_custkey::VARCHAR WHEN 1 THEN 'n' || c_custkey ELSE '{''k'': ' || c_custkey || '}' END AS v FROM customer")
+def ion_conflict_varchar(spark, sf_dir):
+    return read_ion(spark, _mixed(spark, sf_dir))
+
+
+@query("SELECT c_custkey AS id, CASE c_custkey % 3 WHEN 0 THEN c_custkey::VARCHAR WHEN 1 THEN '\"n' || c_custkey || '\"' ELSE '{\"k\": ' || c_custkey || '}' END AS v FROM customer")
+def ion_conflict_json(spark, sf_dir):
+    return read_ion(spark, _mixed(spark, sf_dir), conflict_mode="json")
+
+
+@query("SELECT o_orderkey, 'o_custkey' AS k, o_custkey AS v FROM orders WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'o_orderkey', o_orderkey FROM orders WHERE o_orderkey % 2 = 1")
+def ion_map_sparse(spark, sf_dir):
+    path = scratch(spark)
+    even = F.col("o_orderkey") % 2 == 0
+    body = F.concat(F.lit("{o_orderkey: "), "o_orderkey", F.lit(", obj: {"), F.when(even, F.lit("o_custkey: ")).otherwise(F.lit("o_orderkey: ")), F.when(even, F.col("o_custkey")).otherwise(F.col("o_orderkey")), F.lit("}}"))
+    table(spark, sf_dir, "orders").select(body.alias("value")).write.text(path)
+    df = read_ion(spark, path, field_appearance_threshold=0.8)
+    return df.select("o_orderkey", F.explode("obj").alias("k", "v"))
+
+
+@query("SELECT n_nationkey::BIGINT AS n_nationkey, 'a' AS k, n_nationkey::BIGINT AS v FROM nation UNION ALL SELECT n_nationkey, 'b', n_regionkey FROM nation")
+def ion_map_wide(spark, sf_dir):
+    df = table(spark, sf_dir, "nation").select("n_nationkey", F.struct(F.col("n_nationkey").alias("a"), F.col("n_regionkey").alias("b")).alias("obj"))
+    return read_ion(spark, stored(spark, df), map_inference_threshold=2).select("n_nationkey", F.explode("obj").alias("k", "v"))
+
+
+@query("SELECT c_custkey, c_name AS name, c_nationkey::VARCHAR AS nation FROM customer")
+def ion_max_depth(spark, sf_dir):
+    df = table(spark, sf_dir, "customer").select("c_custkey", F.struct(F.col("c_name").alias("n"), F.col("c_nationkey").alias("k")).alias("s"))
+    got = read_ion(spark, stored(spark, df), maximum_depth=1)
+    return got.select("c_custkey", F.col("s.n").alias("name"), F.col("s.k").alias("nation"))
+
+
+_BASKET = "SELECT o_orderkey, o_orderpriority, list(l_partkey ORDER BY l_linenumber, l_partkey) AS parts FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL"
+
+
+def _baskets(spark, sf_dir) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))).alias("l"))
+    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    return orders.select(F.struct("o_orderkey", "o_orderpriority").alias("o"), F.transform("l", lambda x: x["l_partkey"]).alias("parts"))
+
+
+@query(f"SELECT o_orderkey, o_orderpriority, len(parts)::INTEGER AS n FROM ({_BASKET})")
+def ion_nested_struct_access(spark, sf_dir):
+    df = IonFrame(spark, stored(spark, _baskets(spark, sf_dir)), **LINES).select("o", "parts")
+    return df.select("o.o_orderkey", "o.o_orderpriority", F.size("parts").alias("n"))
+
+
+@query(f"SELECT o_orderkey, parts[1] AS one, parts[2] AS two, parts[100] AS beyond FROM ({_BASKET})")
+def ion_list_extract(spark, sf_dir):
+    df = read_ion(spark, stored(spark, _baskets(spark, sf_dir), binary=True))
+    return df.select("o.o_orderkey", list_extract("parts", 1).alias("one"), list_extract("parts", 2).alias("two"), list_extract("parts", 100).alias("beyond"))
+
+
+@query("SELECT '{s_suppkey: ' || s_suppkey || ', s_name: \"' || s_name || '\", s_nationkey: ' || s_nationkey || ', s_acctbal: ' || s_acctbal || '}' AS ion FROM supplier")
+def to_ion_struct(spark, sf_dir):
+    df = table(spark, sf_dir, "supplier")
+    return df.select(to_ion(df).alias("ion"))
+
+
+@query("SELECT n_nationkey, '[' || n_nationkey || ', null, ' || n_regionkey || ']' AS ion FROM nation")
+def to_ion_list(spark, sf_dir):
+    df = table(spark, sf_dir, "nation").withColumn("l", F.array("n_nationkey", F.lit(None).cast("int"), "n_regionkey"))
+    return df.select("n_nationkey", to_ion(df, "l").alias("ion"))
+
+
+@query("SELECT n_nationkey, CASE WHEN n_regionkey = 1 THEN 'null' ELSE '\"' || n_name || '\"' END AS ion FROM nation")
+def to_ion_null(spark, sf_dir):
+    df = table(spark, sf_dir, "nation").withColumn("v", F.when(F.col("n_regionkey") != 1, F.col("n_name")))
+    return df.select("n_nationkey", to_ion(df, "v").alias("ion"))
+
+
+@query("SELECT doc_id, '\"' || replace(replace(replace(replace(replace(text, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t') || '\"' AS ion FROM documents")
+def to_ion_escape(spark, sf_dir):
+    df = table(spark, sf_dir, "documents")
+    return df.select("doc_id", to_ion(df, "text").alias("ion"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS ion FROM orders")
+def to_ion_timestamp(spark, sf_dir):
+    df = table(spark, sf_dir, "orders")
+    return df.select("o_orderkey", to_ion(df, "o_orderdate").alias("ion"))
+
+
+@query("SELECT doc_id, '{{' || base64(encode(text)) || '}}' AS ion FROM documents")
+def to_ion_blob(spark, sf_dir):
+    df = table(spark, sf_dir, "documents").withColumn("b", F.col("text").cast("binary"))
+    return df.select("doc_id", to_ion(df, "b").alias("ion"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_extendedprice::VARCHAR AS price, (l_extendedprice * 1e12)::VARCHAR AS large, (l_tax / 1e6)::VARCHAR AS small FROM lineitem")
+def to_ion_double(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem").withColumns({"large": F.col("l_extendedprice") * 1e12, "small": F.col("l_tax") / 1e6})
+    return df.select("l_orderkey", "l_linenumber", to_ion(df, "l_extendedprice").alias("price"), to_ion(df, "large").alias("large"), to_ion(df, "small").alias("small"))
+
+
+@query("SELECT n_nationkey, '{a: ' || n_nationkey || ', b: [\"' || n_name || '\"]}' AS ion FROM nation")
+def to_ion_sql(spark, sf_dir):
+    register(spark)
+    table(spark, sf_dir, "nation").createOrReplaceTempView("ion_nation")
+    return spark.sql("SELECT n_nationkey, to_ion(named_struct('a', n_nationkey, 'b', array(n_name))) AS ion FROM ion_nation")
+
+
+@query("SELECT strftime(o_orderdate, '%d/%m/%Y %H:%M') AS o_orderdate, o_orderkey FROM orders")
+def ion_write_timestamp_format(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate")), timestampformat="%d/%m/%Y %H:%M")
+    return read_ion(spark, path, **LINES)
+
+
+@query("SELECT n_nationkey::BIGINT AS n_nationkey, n_name FROM nation WHERE n_regionkey = 2")
+def ion_write_partitioned(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "nation"), partition_by=["n_regionkey"], compression="gzip")
+    return read_ion(spark, f"{path}/n_regionkey=2", **LINES)
+
+
+@query("SELECT count(*) AS n FROM lineitem")
+def ion_count(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "lineitem"))
+    return read_ion(spark, path, select=[], **LINES).agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n FROM lineitem")
+def ion_count_binary(spark, sf_dir):
+    return spark.createDataFrame([(count_ion(spark, stored(spark, table(spark, sf_dir, "lineitem"), binary=True)),)], "n long")
+
+
+@query("SELECT event_id, event_type, value FROM events")
+def ion_project3(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "events"))
+    return read_ion(spark, path, columns={"event_id": "BIGINT", "event_type": "VARCHAR", "value": "DOUBLE"}, **LINES)
+
+
+@query("SELECT event_type, count(*) AS n FROM events WHERE value > 5 GROUP BY event_type")
+def ion_filter_group(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "events"))
+    return read_ion(spark, path, columns={"event_type": "VARCHAR", "value": "DOUBLE"}, **LINES).where("value > 5").groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT l_orderkey, l_partkey, l_quantity, l_returnflag FROM lineitem")
+def ion_wide_project(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "lineitem"), binary=True)
+    columns = {"l_orderkey": "BIGINT", "l_partkey": "BIGINT", "l_quantity": "DOUBLE", "l_returnflag": "VARCHAR"}
+    return read_ion(spark, path, columns=columns)
+
+
+@query("SELECT 0::BIGINT AS n")
+def ion_except_all_parity(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    text, binary = (read_ion(spark, stored(spark, orders, binary=b), columns=ORDERS) for b in (False, True))
+    return text.exceptAll(binary).unionAll(binary.exceptAll(text)).agg(F.count("*").alias("n"))
+
+
+@query("SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name")
+def ion_join(spark, sf_dir):
+    customer = read_ion(spark, stored(spark, table(spark, sf_dir, "customer"), binary=True), select=["c_nationkey"])
+    nation = read_ion(spark, stored(spark, table(spark, sf_dir, "nation")))
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS n FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+def ion_anti_join(spark, sf_dir):
+    customer = read_ion(spark, stored(spark, table(spark, sf_dir, "customer")), select=["c_custkey"], **LINES)
+    orders = read_ion(spark, stored(spark, table(spark, sf_dir, "orders"), binary=True), select=["o_custkey"])
+    return customer.join(orders, F.col("c_custkey") == F.col("o_custkey"), "left_anti").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)::INTEGER AS nth FROM orders")
+def ion_window(spark, sf_dir):
+    orders = read_ion(spark, stored(spark, table(spark, sf_dir, "orders")), select=["o_custkey", "o_orderkey", "o_orderdate"], **LINES)
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    return orders.select("o_custkey", "o_orderkey", F.row_number().over(w).alias("nth"))
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)")
+def ion_rollup(spark, sf_dir):
+    orders = read_ion(spark, stored(spark, table(spark, sf_dir, "orders")), select=["o_orderstatus", "o_orderpriority"], **LINES)
+    return orders.rollup("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
+def ion_top_k(spark, sf_dir):
+    orders = read_ion(spark, stored(spark, table(spark, sf_dir, "orders")), columns={"o_orderkey": "BIGINT", "o_totalprice": "DOUBLE"}, **LINES)
+    return orders.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
+
+
+@query("SELECT vec_id, [x::DOUBLE FOR x IN embedding] AS embedding, label FROM embeddings")
+def ion_binary_float_lists(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "embeddings"), binary=True)
+    return read_ion(spark, path, columns={"vec_id": "BIGINT", "embedding": "DOUBLE[]", "label": "INTEGER"})
