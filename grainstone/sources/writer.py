@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..cluster import ship_code
-from ..functions.to_ion import to_ion
+from ..functions.sql import literal
+from ..functions.to_ion import python_float, symbol, to_ion
 from .ionbinary import MARK, Symbols, encode_decimal, encode_int, encode_timestamp, tagged, varuint
 from .options import OptionError
 from .values import DAY, SECOND, Timestamp
@@ -75,6 +76,26 @@ def _formatted(df: DataFrame, options: dict) -> DataFrame:
     return df
 
 
+#: Rows of more columns are written as text in Arrow batches: their expression would be larger
+#: than what Spark compiles.
+WIDE = 24
+
+
+def text_rows(df: DataFrame, floats: str = "plain") -> DataFrame:
+    """df's rows as one column `value` of Ion text."""
+    if len(df.columns) <= WIDE or floats != "plain":
+        return df.select(to_ion(df, floats=floats, shown=python_float).alias("value"))
+    ship_code(df.sparkSession)
+    heads = [symbol(n) + ": " for n in df.columns]
+
+    def run(batches):
+        for batch in batches:
+            columns = [[h + literal(v, c.type) for v in c.to_pylist()] for h, c in zip(heads, batch.columns)]
+            yield pa.RecordBatch.from_arrays([pa.array(["{" + ", ".join(r) + "}" for r in zip(*columns)], pa.string())], ["value"])
+
+    return df.mapInArrow(run, "value string")
+
+
 def write_ion(df: DataFrame, path: str, **given) -> None:
     """Write df's rows as structs.
 
@@ -87,9 +108,9 @@ def write_ion(df: DataFrame, path: str, **given) -> None:
     options = write_options(given)
     if not options.get("binary") and not options.get("array"):
         parts = list(options.get("partition_by") or [])
-        rows = _formatted(df, options)
-        body = rows.drop(*parts) if parts else rows
-        writer = rows.select(to_ion(body, floats=options.get("floats", "plain")).alias("value"), *parts).write.mode(options.get("mode", "error"))
+        rows, floats = _formatted(df, options), options.get("floats", "plain")
+        lines = rows.select(to_ion(rows.drop(*parts), floats=floats, shown=python_float).alias("value"), *parts) if parts else text_rows(rows, floats)
+        writer = lines.write.mode(options.get("mode", "error"))
         if parts:
             writer = writer.partitionBy(*parts)
         for name, spark_name in (("compression", "compression"), ("max_records_per_file", "maxRecordsPerFile")):
@@ -120,7 +141,7 @@ def _write_files(df: DataFrame, path: str, options: dict) -> None:
     temporary = f"{root}/_temporary-{job}"
     ending = ("ion" if not binary else "10n") + (".gz" if zipped else "")
     schema = df.schema
-    rows = df if binary else df.select(to_ion(df, floats=options.get("floats", "plain")).alias("value"))
+    rows = df if binary else text_rows(df, options.get("floats", "plain"))
     most = int(options.get("max_records_per_file") or 0)
 
     def write(batches):

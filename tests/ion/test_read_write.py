@@ -117,7 +117,7 @@ def test_paths(spark, at):
 
 def test_lines_of_one_shape_and_others(spark, tmp_path):
     shaped = [f'{{id: {i}, c: "w{i}", d: {i}.25, f: {i}e0, b: {str(i % 2 == 0).lower()}, t: 2020-01-0{i % 9 + 1}T00:00:00.5Z, s: {{x: {i}}}, l: ["a", {i}]}}' for i in range(50)]
-    odd = ['{id: 50, c: sym, d: 1d1, f: 2, b: null, s: null, extra: [{y: (z)}]}', "null", '  {c:"x\\n", id:51}  // end']
+    odd = ['{id: 50, c: sym, d: 1d1, f: 2, b: null, s: null, extra: [{y: z}]}', "null", '  {c:"x\\n", id:51}  // end']
     (tmp_path / "a.ion").write_text("\n".join([*shaped, *odd]) + "\n")
     (tmp_path / "b.ion").write_text("\n".join(shaped))
     for select in (None, ["d", "id"], ["s"], []):
@@ -153,6 +153,15 @@ def test_round_trips(spark, tmp_path, how):
     assert read_ion(spark, path, columns={"id": "BIGINT"}, **({"format": "array"} if how.get("array") else {})).count() == 1
 
 
+def test_wide_rows_have_the_same_text(spark, monkeypatch):
+    from grainstone.sources import writer
+
+    df = everything(spark)
+    narrow = rows(writer.text_rows(df))
+    monkeypatch.setattr(writer, "WIDE", 3)
+    assert rows(writer.text_rows(df)) == narrow
+
+
 def test_to_ion_goldens(spark):
     one = lambda sql: (lambda df: df.select(to_ion(df, "v").alias("v")).first().v)(spark.sql(f"select {sql} as v"))
     register(spark)
