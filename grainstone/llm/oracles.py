@@ -19,6 +19,31 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+#: CRC-32 byte by byte; the walk of the jump hash as a recursion, modulo 2^64.
+SHARDING = """
+WITH RECURSIVE crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+docs AS (
+  SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n, hex(encode(coalesce(text, ''))) AS h FROM documents),
+sized AS (
+  SELECT doc_id, (n + 1)::BIGINT AS size,
+         xor(list_reduce([4294967295] || list_transform(range(n), lambda k: ('0x' || substr(h, 2 * k + 1, 2))::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+  FROM docs, crc_table),
+walk AS (
+  SELECT doc_id, shards, -1::BIGINT AS b, 0::BIGINT AS j, ((doc_id::HUGEINT + 18446744073709551616) % 18446744073709551616)::UHUGEINT AS key
+  FROM (SELECT DISTINCT doc_id FROM documents), (VALUES (8), (9)) AS v(shards)
+  UNION ALL
+  SELECT doc_id, shards, j, floor((j + 1)::DOUBLE * 2147483648.0 / ((k2 // 8589934592)::DOUBLE + 1))::BIGINT, k2
+  FROM (SELECT *, (key * 2862933555777941757 + 1) % 18446744073709551616 AS k2 FROM walk WHERE j < shards)),
+placed AS (SELECT doc_id, max(b) FILTER (shards = 8) AS shard, max(b) FILTER (shards = 9) AS grown FROM walk GROUP BY doc_id),
+keyed AS (
+  SELECT *, ((((doc_id::UHUGEINT * 2862933555777941757 + 1) % 18446744073709551616) // 1099511627776)::BIGINT + text_crc32) % 4096 AS bucket
+  FROM sized JOIN placed USING (doc_id))
+SELECT doc_id, size, text_crc32, 'key' AS law, shard::INTEGER AS shard,
+       row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id, text_crc32, size) - 1 AS slot, grown::INTEGER AS grown_shard
+FROM keyed
+"""
+
 
 def licences(templates: dict[str, str], threshold: float) -> str:
     """Dice coefficients of every line and text with every template."""

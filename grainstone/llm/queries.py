@@ -79,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 ORACLES: dict[str, str] = {
     "op3_prefix_decontamination": oracles.DECONTAMINATION,
+    "op8_jump_sharding": oracles.SHARDING,
     "op9_licence_dice": oracles.licences(licences.TEMPLATES, licences.THRESHOLD),
 }
