@@ -31,6 +31,8 @@ from .shape import Shape, fast_column
 from .values import IonError, Struct
 
 BATCH = 8192
+#: Files whose first bytes the driver looks at.
+PEEK = 8
 _LIST = "read_ion expects a top-level list when format='array'"
 _RECORDS = "read_ion expects records to be structs"
 
@@ -87,8 +89,9 @@ def _is_binary(spark: SparkSession, path: str) -> bool:
 
 
 def _by_lines(spark: SparkSession, options: ReadOptions, files: list[str]) -> bool:
-    """Lines are read only if that is asked for and no file is binary."""
-    return options.format == "newline_delimited" and not any(_is_binary(spark, f) for f in files)
+    """Lines are read only if that is asked for and the first files aren't binary; a binary
+    file among text ones then fails, it isn't misread."""
+    return options.format == "newline_delimited" and not any(_is_binary(spark, f) for f in files[:PEEK])
 
 
 def line_values(lines: list[str]) -> Iterator[object]:
