@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grainstone.llm import decontam, packing, quality, simhash, toxicity
+from grainstone.llm import decontam, nearsets, packing, quality, toxicity
 from grainstone.llm.labelled import remainder
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -34,8 +34,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest key of each SimHash component."""
-    return simhash.representatives(docs).select(COLUMNS)
+    """The document with the smallest key of each group of near copies.
+
+    Copies are near at a Jaccard similarity of five-word shingles of 0.8 at least, compared
+    exactly. The radius and shingles of operator 6's query hold for that query only.
+    """
+    return nearsets.representatives(docs).select(COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
