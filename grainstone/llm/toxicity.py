@@ -1,185 +1,237 @@
-"""Toxicity by compression distance: two zstandard dictionaries and calibrated lengths.
-
-Both dictionaries hold a frame, which each window begins with so that a block always has a
-match, the ordinary rows' most frequent words, and the tails of the marks. The toxic one
-goes on with the marks themselves, the ordinary one with as many bytes that no text has, so
-matches lie equally far back in both. Marks are the beginnings of words that are in many
-more contexts of toxic than of ordinary rows, where a context is the word before (so that
-copies of one text count once).
-
-A window is a word between two separators behind the frame. It is compressed with either
-dictionary, and is shorter with the toxic one only if it begins like a mark. (Windows of
-several words blur this, as what the neighbours match changes the parse: with eight words, 7
-of 427 held-out toxic documents were missed and 12 of 3,634 clean ones taken for toxic.) The largest gain of a window, and how
-many gain enough, go through a logistic curve fitted on labelled rows kept out of the
-dictionaries, weighted back to the classes' true shares. A word's gain is worked out once
-and kept by the worker.
+"""Toxicity by compression distance: two trained zstandard dictionaries and calibrated lengths.
+
+zstandard's own trainer makes both dictionaries. The ordinary one learns from windows of
+ordinary labelled rows. The trainer keeps what is most frequent in its samples, and that is
+the same in toxic rows; so the toxic one learns only from words with a telling string: one
+of STRING bytes that is in significantly more toxic than ordinary rows (a G test against
+chance over all strings, with the rate at least LIFT times as high). Near copies among the
+labelled rows count once.
+
+A text is compared window by window: WORDS words in a row, from each word on. A window is
+compressed with the ordinary dictionary and with the ordinary and toxic ones together; its
+gain is the difference of the lengths. Both compressors have equally many bytes before the
+window (the ordinary one repeats its end), so distances cost the same. The mean gain, the
+shares of windows that gain more and the largest gains of windows apart go through a
+logistic curve with a constant for each class of length, fitted on labelled rows kept out of
+the dictionaries, in which both labels weigh the same.
 """
 
 from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage, ship_code
 from .labelled import fit_logistic, logistic, remainder, sample
-from .words import alnum_words, filter_rows, runs
+from .words import alnum_words, filter_rows, runs, space_words
 
 #: Labelled rows of each class that the dictionaries and the curve are fitted on, at most.
-SAMPLE = 8000
-#: Ordinary words in both dictionaries, bytes of a word's beginning.
-COMMON, SHORTEST, LONGEST = 100, 4, 12
-#: A mark is in this many contexts of toxic rows at least (of 64 kinds), and this many
-#: times as often in toxic as in ordinary rows.
-CONTEXTS, RATIO, MARKS = 8, 25.0, 2000
-_GAIN = 3
-#: Words whose gains a worker keeps; at that size the store is emptied and fills anew.
-KEPT_WORDS = 400_000
+SAMPLE = 4000
+#: Words of a window, and bytes of the ordinary and (at most) the toxic dictionary.
+WORDS, ORDINARY, TOXIC = 3, 112 << 10, 16 << 10
+#: Windows of each ordinary row that its dictionary is trained on, at most, evenly spaced;
+#: so many words for the toxic one, at most, in proportion to their counts.
+WINDOWS_A_ROW, TOXIC_WORDS = 64, 200_000
+#: Bytes of a telling string, and how much higher its rate in toxic rows is at least.
+STRING, LIFT = 6, 4.0
+#: Bounds of the classes of length, in windows.
+LENGTHS = (64, 256, 1024)
+_GAINS = (3, 5)
 _GAP = b"  "
-#: Begins every window and is in both dictionaries; words have none of these bytes, nor any
-#: below space.
+#: Begins every window and both dictionaries, so that each window has a match and is
+#: compressed; words have none of these bytes.
 _FRAME = b"#@%!~^|{}<>=+_&$"
+#: zstandard doesn't find what is at the very end of a dictionary.
+_END = bytes(range(1, 10))
 
 
 @dataclass
 class Model:
+    """ordinary, toxic: contents of the dictionaries; curve: coefficients of `features`
+    less `centre`, over `scale`; base: the score without dictionaries."""
+
     ordinary: bytes = b""
     toxic: bytes = b""
-    curve: list[float] = field(default_factory=lambda: [0.0] * 5)
+    curve: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    centre: np.ndarray = field(default_factory=lambda: np.zeros(0))
+    scale: np.ndarray = field(default_factory=lambda: np.zeros(0))
     base: float = 0.0
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """How likely each text is toxic."""
-        if not self.toxic:
+        if not len(self.curve):
             return np.full(len(texts), self.base)
-        gains = held_gains(self)
-        return logistic(np.array([features(t, gains) for t in texts]), np.array(self.curve))
+        gains = held_gains(self.ordinary, self.toxic)
+        x = np.array([features(gains.of(t)) for t in texts]).reshape(len(texts), -1)
+        return logistic((x - self.centre) / self.scale, self.curve)
 
 
 class Gains:
-    """Bytes that a word's window saves with the toxic dictionary."""
+    """Bytes that the windows of a text save with the toxic dictionary."""
 
-    def __init__(self, model: Model):
+    def __init__(self, ordinary: bytes, toxic: bytes):
         how = zstandard.ZstdCompressionParameters(
-            window_log=14, chain_log=13, hash_log=14, search_log=6, min_match=6, target_length=32, strategy=zstandard.STRATEGY_GREEDY, write_checksum=False, write_content_size=False, write_dict_id=False
+            window_log=18, chain_log=17, hash_log=17, search_log=9, min_match=6, target_length=64, strategy=zstandard.STRATEGY_GREEDY, write_checksum=False, write_content_size=False, write_dict_id=False
         )
 
         def of(content: bytes):
-            data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            data = zstandard.ZstdCompressionDict(_FRAME + ordinary + content + _END, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             return zstandard.ZstdCompressor(dict_data=data, compression_params=how).compress
 
-        self.ordinary, self.toxic = of(model.ordinary), of(model.toxic)
-        self.kept: dict[bytes, int] = {}
+        same = (ordinary * (len(toxic) // max(len(ordinary), 1) + 1))[-len(toxic) :] if toxic else b""
+        self.ordinary, self.toxic = of(same), of(toxic)
 
-    def of(self, words: list[bytes]) -> list[int]:
-        kept = self.kept
-        if len(kept) > KEPT_WORDS:
-            kept.clear()
-        for w in set(words).difference(kept):
-            if len(w) < SHORTEST:
-                kept[w] = 0
-            else:
-                window = _FRAME + _GAP + w + _GAP
-                kept[w] = len(self.ordinary(window)) - len(self.toxic(window))
-        return list(map(kept.__getitem__, words))
+    def of(self, text: bytes) -> np.ndarray:
+        lengths = [(len(self.ordinary(w)), len(self.toxic(w))) for w in windows(text)]
+        table = np.array(lengths, np.int64).reshape(-1, 2)
+        return table[:, 0] - table[:, 1]
 
 
 _HELD: dict[tuple[bytes, bytes], Gains] = {}
 
 
-def held_gains(model: Model) -> Gains:
-    """The worker's gains for this model, kept between tasks; those of another one go."""
-    key = (model.ordinary, model.toxic)
-    if key not in _HELD:
+def held_gains(ordinary: bytes, toxic: bytes) -> Gains:
+    """The worker's compressors for these dictionaries, kept between tasks; others go."""
+    if (ordinary, toxic) not in _HELD:
         _HELD.clear()
-        _HELD[key] = Gains(model)
-    return _HELD[key]
-
-
-def beginnings(text: bytes) -> dict[bytes, int]:
-    """Beginnings of the text's words, with a mask of the 64 kinds of context they have."""
-    found: dict[bytes, int] = {}
-    before = b""
-    for w in alnum_words(text):
-        if len(w) >= SHORTEST:
-            bit = 1 << (crc32(before) & 63)
-            for k in range(SHORTEST, min(len(w), LONGEST) + 1):
-                found[w[:k]] = found.get(w[:k], 0) | bit
-        before = w
+        _HELD[ordinary, toxic] = Gains(ordinary, toxic)
+    return _HELD[ordinary, toxic]
+
+
+def framed(words: list[bytes]) -> bytes:
+    return _GAP + _GAP.join(words) + _GAP
+
+
+def windows(text: bytes) -> list[bytes]:
+    """Every WORDS words in a row, framed; fewer words are one window, none are none."""
+    words = alnum_words(text)
+    if len(words) <= WORDS:
+        return [_FRAME + framed(words)] if words else []
+    start, end = _FRAME + _GAP, _GAP
+    return [start + w + end for w in map(_GAP.join, zip(*(words[i:] for i in range(WORDS))))]
+
+
+def features(gains: np.ndarray) -> list[float]:
+    """Mean gain, roots of the shares of windows that gain _GAINS, the largest gains of
+    three windows apart, and which class of length it is."""
+    m = len(gains)
+    lengths = [float(low < max(m, 1) <= high) for low, high in zip((0, *LENGTHS), (*LENGTHS, math.inf))]
+    if not m:
+        return [0.0] * (4 + len(_GAINS)) + lengths
+    high = np.sort(gains)[::-1]
+    tops = [float(high[WORDS * i]) if WORDS * i < m else 0.0 for i in range(3)]
+    return [float(gains.mean()), *(math.sqrt(float((gains >= g).mean())) for g in _GAINS), *tops, *lengths]
+
+
+def strings(data: bytes) -> np.ndarray:
+    """The strings of STRING bytes in data, each as a number, with repeats."""
+    a = np.frombuffer(data, np.uint8).astype(np.int64)
+    n = max(len(a) - STRING + 1, 0)
+    found = np.zeros(n, np.int64)
+    for i in range(STRING):
+        found = found << 8 | a[i : i + n]
     return found
 
 
-def _signed(v: int) -> int:
-    return v - (1 << 64) if v >> 63 else v
-
-
-def _count_beginnings(batches):
-    rows: dict[bytes, list[int]] = {}
-    schema = pa.schema([("w", pa.binary()), ("t", pa.int64()), ("o", pa.int64()), ("tm", pa.int64()), ("om", pa.int64())])
-
-    def told():
-        keys = list(rows)
-        table = np.array([[a, b, _signed(c), _signed(d)] for a, b, c, d in rows.values()], np.int64).reshape(-1, 4)
-        for i in range(0, len(keys), 20000):
-            yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 20000], pa.binary()), *(pa.array(table[i : i + 20000, c].copy()) for c in range(4))], schema=schema)
-        rows.clear()
-
-    for batch in batches:
-        for part, texts in runs(batch):
-            for text, toxic in zip(texts, part.column(1).to_pylist()):
-                for w, mask in beginnings(text).items():
-                    r = rows.setdefault(w, [0, 0, 0, 0])
-                    r[1 - toxic] += 1
-                    r[3 - toxic] |= mask
-            if len(rows) > 300_000:
-                yield from told()
-    yield from told()
-
-
-def choose_marks(rows: list[tuple[bytes, int]]) -> list[bytes]:
-    """From beginnings and their toxic counts, the marks: the shortest of each family,
-    made longer as long as nine in ten go on the same way."""
-    count = dict(rows)
-    after: dict[bytes, list[bytes]] = {}
-    for w in count:
-        after.setdefault(w[:-1], []).append(w)
-    marks = []
-    for w in count:
-        if any(w[:k] in count for k in range(SHORTEST, len(w))):
-            continue
-        while more := [v for v in after.get(w, []) if count[v] >= 0.9 * count[w]]:
-            w = more[0]
-        marks.append(w.decode("utf-8", "ignore").encode())  # without half a character
-    return sorted(marks, key=lambda w: (count[w], w))
-
-
-def dictionaries(common: list[bytes], marks: list[bytes]) -> tuple[bytes, bytes]:
-    """Contents of the ordinary and the toxic dictionary, of equal length.
-
-    zstandard doesn't find what is at the very ends of a dictionary, so both begin and end
-    with bytes that don't count.
-    """
-    tails = b"\x01".join(m[1:] for m in marks if len(m) > 6)
-    both = bytes(range(1, 9)) + tails + b"\x02" + b"".join(_GAP + w for w in reversed(common)) + b"\x03" + _FRAME + b"\x04"
-    own = b"".join(_GAP + m + b"\x01" for m in marks)
-    void = b"".join(bytes([1 + i % 31, 1 + i // 31 % 31]) for i in range(len(own) // 2 + 1))[: len(own)]
-    end = bytes(range(31, 0, -1))
-    return both + void + end, both + own + end
+def _copies(text: bytes, seed: int) -> int:
+    """The least hash of a text's five-word shingles: near copies mostly have it in common."""
+    words = space_words(text)
+    least = min((xxhash.xxh64_intdigest(b" ".join(words[i : i + 5]), seed) for i in range(max(1, len(words) - 4))), default=0)
+    return least - (1 << 64) if least >> 63 else least
+
+
+def _chosen(docs: DataFrame, labels: DataFrame, usable, most: int, key: str) -> DataFrame:
+    """(text, label, fold) of the labelled rows that the model is fitted on."""
+
+    def told(batches):
+        for batch in batches:
+            for part, texts in runs(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, *(pa.array([_copies(t, s) for t in texts], pa.int64()) for s in (1, 2))], [*part.schema.names, "a", "b"])
+
+    kind = dict(docs.dtypes)[key]
+    rows = sample(docs, labels, "toxic", usable, most, key).select(F.col(key).alias("k"), "text", "label")
+    rows = cut_lineage(rows.mapInArrow(told, f"k {kind}, text string, label int, a long, b long"))
+    order = F.xxhash64("k")
+    one = rows.groupBy("label", "a").agg(F.min(F.struct(order.alias("h"), "k", "b")).alias("r")).select("label", "r.h", "r.k", "r.b")
+    two = one.groupBy("label", "b").agg(F.min(F.struct("h", "k")).alias("r")).select("r.k").distinct()
+    return rows.join(F.broadcast(two), "k").select("text", "label", F.pmod(F.xxhash64("k", F.lit("fold")), F.lit(3)).alias("fold"))
+
+
+def _telling(learn: DataFrame) -> np.ndarray:
+    """The telling strings, sorted."""
+
+    def count(batches):
+        for batch in batches:
+            for part, texts in runs(batch):
+                for label in (0, 1):
+                    own = [np.unique(strings(framed(alnum_words(t)))) for t, x in zip(texts, part.column(1).to_pylist()) if x == label]
+                    if own:
+                        found, n = np.unique(np.concatenate(own), return_counts=True)
+                        pair = (n, np.zeros_like(n)) if label else (np.zeros_like(n), n)
+                        for i in range(0, len(found), 50000):
+                            yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50000]) for x in (found, *pair)], ["s", "t", "o"])
+
+    rows = {r.label: r["count"] for r in learn.groupBy("label").count().collect()}
+    n1, n0 = rows.get(1, 0), rows.get(0, 0)
+    if not n1 or not n0:
+        return np.zeros(0, np.int64)
+    counts = learn.select("text", "label").mapInArrow(count, "s long, t long, o long").groupBy("s").agg(F.sum("t").cast("double").alias("t"), F.sum("o").cast("double").alias("o"))
+    seen = cut_lineage(counts.where("t > 1"))
+    tested = seen.count()
+
+    def term(x):
+        return F.when(x > 0, x * F.log(x)).otherwise(F.lit(0.0))
+
+    t, o = F.col("t"), F.col("o")
+    half = term(t) + term(o) + term(n1 - t) + term(n0 - o) - term(t + o) - term(n1 + n0 - t - o)
+    g = 2 * (half + F.lit((n1 + n0) * math.log(n1 + n0) - n1 * math.log(n1) - n0 * math.log(n0)))
+    found = seen.where((g >= 2 * math.log(max(tested, 1)) + 2) & (t / n1 >= LIFT * (o + 0.5) / n0)).select("s").toArrow()
+    return np.sort(found["s"].to_numpy())
+
+
+def train(samples: list[bytes], most: int, segment: int, string: int) -> bytes:
+    """What zstandard's trainer keeps of the samples; where they are too few to train on,
+    the samples themselves, up to that size."""
+    try:
+        data = zstandard.train_dictionary(most + 512, samples, k=segment, d=string, level=3).as_bytes()
+    except zstandard.ZstdError:
+        return b"".join(samples)[-most:]
+    return data[max(data.find(_GAP), 0) :][-most:]
+
+
+def dictionaries(learn: DataFrame) -> tuple[bytes, bytes]:
+    """The ordinary and the toxic dictionary; where no string is telling, the toxic one is
+    trained on all words of toxic rows."""
+    telling = _telling(learn)
+
+    def toxic(batches):
+        for batch in batches:
+            for _, texts in runs(batch):
+                words = (framed([w]) for t in texts for w in alnum_words(t))
+                own = [w for w in words if not len(telling) or np.isin(strings(w), telling, assume_unique=False).any()]
+                yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary())], ["w"])
 
+    def ordinary(batches):
+        for batch in batches:
+            for _, texts in runs(batch):
+                for t in texts:
+                    own = [w[len(_FRAME) :] for w in windows(t)]
+                    at = np.unique(np.linspace(0, len(own) - 1, min(len(own), WINDOWS_A_ROW)).astype(int)) if own else []
+                    yield pa.RecordBatch.from_arrays([pa.array([own[i] for i in at], pa.binary())], ["w"])
 
-def features(text: bytes, gains: Gains) -> tuple[float, ...]:
-    """Whether the largest gain is _GAIN, one more and two more, and the words that gain
-    that much (log)."""
-    own = gains.of(alnum_words(text))
-    most = max(own, default=0)
-    return float(most >= _GAIN), float(most > _GAIN), float(most > _GAIN + 1), math.log1p(min(sum(g >= _GAIN for g in own), 20))
+    said = learn.where("label = 1").select("text").mapInArrow(toxic, "w binary").groupBy("w").count().orderBy("w").collect()
+    total = sum(r["count"] for r in said)
+    often = [(bytes(r.w), max(1, r["count"] * TOXIC_WORDS // max(total, TOXIC_WORDS))) for r in said]
+    plain = learn.where("label = 0").select("text").mapInArrow(ordinary, "w binary").orderBy(F.xxhash64("w"), "w").toArrow()
+    mixed = sorted((xxhash.xxh64_intdigest(w, i), w) for w, n in often for i in range(n))  # the trainer takes each part of the samples by itself
+    return train(plain["w"].to_pylist(), ORDINARY, 24, 8), train([w for _, w in mixed], TOXIC, 12, 6)
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable, most: int = SAMPLE, key: str = "doc_id") -> Model:
@@ -190,48 +242,28 @@ def fit(docs: DataFrame, labels: DataFrame, usable, most: int = SAMPLE, key: str
     share = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     n1, n0 = share.get(1, 0), share.get(0, 0)
     model = Model(base=n1 / (n0 + n1) if n0 + n1 else 0.0)
-    if not n0 or not n1:
+    rows = cut_lineage(_chosen(docs, labels, usable, most, key))
+    if {r.label for r in rows.select("label").distinct().collect()} != {0, 1}:
         return model
-    rows = cut_lineage(sample(docs, labels, "toxic", usable, most, key).withColumn("fold", F.pmod(F.xxhash64(key, F.lit("fold")), F.lit(4))))
-    learn = rows.where("fold > 1").select("text", "label")
-    counts = learn.groupBy().agg(F.sum(1 - F.col("label")), F.sum("label")).first()
-    own0, own1 = counts[0] or 1, counts[1] or 1
-    found = (
-        learn.mapInArrow(_count_beginnings, "w binary, t long, o long, tm long, om long")
-        .groupBy("w")
-        .agg(F.sum("t").alias("t"), F.sum("o").alias("o"), F.bit_count(F.bit_or("tm")).alias("tc"), F.bit_count(F.bit_or("om")).alias("oc"))
-        .where((F.col("tc") >= CONTEXTS) & (F.col("tc") > 2 * F.col("oc")) & (F.col("t") / own1 > RATIO * (F.col("o") + 0.5) / own0))
-        .orderBy(F.desc("t"), "w")
-        .limit(MARKS)
-        .collect()
-    )
-    marks = choose_marks([(bytes(r.w), r.t) for r in found])
-    common = (
-        learn.where("label = 0")
-        .select(F.explode(F.split(F.lower("text"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")).alias("w"))
-        .where("w <> ''")
-        .groupBy("w")
-        .count()
-        .orderBy(F.desc("count"), "w")
-        .limit(COMMON)
-        .collect()
-    )
-    model.ordinary, model.toxic = dictionaries([r.w.encode() for r in common], marks)
-    gains = rows.where("fold < 2").select("text", "label").mapInArrow(_features_of(model), "f array<double>, label int").collect()
-    if {r.label for r in gains} != {0, 1}:
-        gains = rows.select("text", "label").mapInArrow(_features_of(model), "f array<double>, label int").collect()
-    x, y = np.array([r.f for r in gains]), np.array([r.label for r in gains], float)
-    weight = np.where(y == 1, n1 / max(y.sum(), 1), n0 / max((1 - y).sum(), 1))
-    model.curve = fit_logistic(x, y, weight / weight.mean()).tolist()
+    model.ordinary, model.toxic = dictionaries(rows.where("fold > 0"))
+    for own in (rows.where("fold = 0"), rows):
+        table = own.select("text", "label").mapInArrow(_features_of(model.ordinary, model.toxic), "f array<double>, label int").toArrow().to_pydict()
+        y = np.array(table["label"], float)
+        if set(y) == {0.0, 1.0}:
+            break
+    x = np.array(table["f"])
+    model.centre, model.scale = x.mean(0), np.maximum(x.std(0), 1e-3)
+    weight = np.where(y == 1, 0.5 / y.mean(), 0.5 / (1 - y.mean()))
+    model.curve = fit_logistic((x - model.centre) / model.scale, y, weight, ridge=1.0)
     return model
 
 
-def _features_of(model: Model):
+def _features_of(ordinary: bytes, toxic: bytes):
     def run(batches):
-        gains = held_gains(model)
+        gains = held_gains(ordinary, toxic)
         for batch in batches:
             for part, texts in runs(batch):
-                yield pa.RecordBatch.from_arrays([pa.array([features(t, gains) for t in texts], pa.list_(pa.float64())), part.column(1)], ["f", "label"])
+                yield pa.RecordBatch.from_arrays([pa.array([features(gains.of(t)) for t in texts], pa.list_(pa.float64())), part.column(1)], ["f", "label"])
 
     return run
 
@@ -240,15 +272,18 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", held_out=None) ->
     """(key, held_out, score, predicted) for each row of docs, over whole texts.
 
     Null, empty and wordless texts have no window and get the curve's value without gain.
-    Repeated rows each get theirs; other columns don't matter; no rows give no rows.
+    Very long texts are compared window by window to their end. Equal texts get equal
+    scores; repeated rows each get theirs; null keys stay null; other columns, also of the
+    names of the result, don't matter; no rows give no rows.
     """
     ship_code(docs.sparkSession)
     kind = dict(docs.dtypes)[key]
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         for batch in batches:
             for part, texts in runs(batch):
-                s = model.score(texts)
+                s = held.value.score(texts)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], ["k", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col(key).alias("k"), "text", (F.lit(False) if held_out is None else held_out).alias("held_out"))
@@ -256,9 +291,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", held_out=None) ->
 
 
 def keep(docs: DataFrame, model: Model, value: int = 0) -> DataFrame:
-    """The rows of docs, all columns, whose predicted label is `value`."""
+    """The rows of docs, all columns, whose predicted label is `value`; as for `score`, null
+    and empty texts are judged without gain, and each of repeated rows stays or goes alike."""
     ship_code(docs.sparkSession)
-    return filter_rows(docs, lambda texts: (model.score(texts) >= 0.5) == bool(value))
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    return filter_rows(docs, lambda texts: (held.value.score(texts) >= 0.5) == bool(value))
 
 
 def classify(docs: DataFrame, labels: DataFrame, mod: int = 5, out: int = 0, source: DataFrame | None = None) -> DataFrame:
