@@ -25,6 +25,7 @@ from ..operators.coerce import coerce
 from ..plans.inference import Inference
 from ..plans.types import plain
 from .ionbinary import MARK, BinaryReader
+from .ioncolumns import ColumnReader
 from .iontext import TextReader
 from .options import OptionError, ReadOptions, read_options
 from .shape import Shape, fast_column
@@ -37,13 +38,13 @@ _LIST = "read_ion expects a top-level list when format='array'"
 _RECORDS = "read_ion expects records to be structs"
 
 
-def file_values(data: bytes, form: str, wanted: frozenset[str] | None = None) -> Iterator[object]:
+def file_values(data: bytes, form: str) -> Iterator[object]:
     """Top-level values of a file, text or binary, gzipped or not; with form 'array' the
     elements of its first one."""
     if data[:2] == b"\x1f\x8b":
         data = gzip.decompress(data)
     if data[:4] == MARK:
-        values = BinaryReader(data, None if form == "array" else wanted).values()
+        values = BinaryReader(data).values()
     else:
         values = TextReader(data.decode("utf-8-sig")).values()
     if form != "array":
@@ -234,7 +235,7 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
     names = [f.name for f in schema]
     kinds = [to_arrow_type(plain(f.dataType)) for f in schema]
     shown = plain(schema) if names else T.StructType([T.StructField("__none", T.BooleanType())])
-    form, wanted = options.format, frozenset(names) if records else None
+    form = options.format
     rows_read = spark.sparkContext.accumulator(0) if options.profile else None
     by_lines = _by_lines(spark, options, files)
 
@@ -261,7 +262,12 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
                     if taken is not None:
                         yield from told(taken)
                         continue
-                for columns, n in _arrays(file_values(data, form, wanted), schema, records):
+                if data[:2] == b"\x1f\x8b":
+                    data = gzip.decompress(data)
+                if records and data[:4] == MARK:
+                    yield from told(ColumnReader(data, schema, kinds, form == "array").batches())
+                    continue
+                for columns, n in _arrays(file_values(data, form), schema, records):
                     yield from told([_batch(columns, n, kinds, names)])
 
     if by_lines:

@@ -9,9 +9,8 @@ tasks have ended; a task that runs again writes another temporary file.
 from __future__ import annotations
 
 import datetime as dt
-import struct
+import tempfile
 import uuid
-from decimal import Decimal
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -22,7 +21,8 @@ from pyspark.sql import types as T
 from ..cluster import ship_code
 from ..functions.sql import literal
 from ..functions.to_ion import python_float, symbol, to_ion
-from .ionbinary import MARK, Symbols, encode_decimal, encode_int, encode_timestamp, tagged, varuint
+from .ionbinary import MARK, Symbols, encode_decimal, encode_timestamp, tagged, varuint
+from .ionencode import rows
 from .options import OptionError
 from .values import DAY, SECOND, Timestamp
 
@@ -141,7 +141,7 @@ def _write_files(df: DataFrame, path: str, options: dict) -> None:
     temporary = f"{root}/_temporary-{job}"
     ending = ("ion" if not binary else "10n") + (".gz" if zipped else "")
     schema = df.schema
-    rows = df if binary else text_rows(df, options.get("floats", "plain"))
+    told = df if binary else text_rows(df, options.get("floats", "plain"))
     most = int(options.get("max_records_per_file") or 0)
 
     def write(batches):
@@ -177,7 +177,7 @@ def _write_files(df: DataFrame, path: str, options: dict) -> None:
     path_of = jvm.org.apache.hadoop.fs.Path
     try:
         # One name for each file; of tasks that ran twice only the one that counted is told.
-        names = [r.name for r in rows.mapInArrow(write, "name string").collect()]
+        names = [r.name for r in told.mapInArrow(write, "name string").collect()]
         if mode == "overwrite" and fs.exists(where):
             for s in fs.listStatus(where):
                 if s.getPath().getName() != f"_temporary-{job}":
@@ -207,11 +207,12 @@ class _Sink:
         self.binary, self.array, self.first = binary, array, True
         self.symbols = Symbols()
         self.schema = schema
-        self.held: list[bytes] = []
+        self.body = self.out
         if binary:
-            self.encoders = [(self.symbols.sid(f.name), encoder(f.dataType, self.symbols)) for f in schema]
             _known_names(schema, self.symbols)
             self.out.write(MARK + self.symbols.table(False))
+            if array:  # a list begins with its length, so its items wait beside the task
+                self.body = tempfile.TemporaryFile()
         elif array:
             self.out.write(b"[\n")
 
@@ -221,19 +222,16 @@ class _Sink:
             self.out.write(lines if self.first else b",\n" + lines)
             self.first = False
             return
-        columns = []
-        for (sid, encode), column in zip(self.encoders, batch.columns):
-            head = varuint(sid)
-            columns.append([head + encode(v) for v in column.to_pylist()])
-        rows = [tagged(13, b"".join(r)) for r in zip(*columns)] if columns else [b"\xd0"] * batch.num_rows
-        if self.array:
-            self.held += rows
-        else:
-            self.out.write(b"".join(rows))
+        self.body.write(rows(batch, self.symbols, single))
 
     def close(self) -> None:
         if self.binary and self.array:
-            self.out.write(tagged(11, b"".join(self.held)))
+            size = self.body.tell()
+            self.out.write(bytes((0xB0 | size,)) if size < 14 else b"\xbe" + varuint(size))
+            self.body.seek(0)
+            while part := self.body.read(_PART):
+                self.out.write(part)
+            self.body.close()
         elif self.array:
             self.out.write(b"\n]\n")
         self.out.close()
@@ -251,33 +249,18 @@ def _known_names(kind: T.DataType, symbols: Symbols) -> None:
         _known_names(kind.elementType, symbols)
 
 
-#: Codes of typed nulls by the column's type.
-_NULLS = [(T.BooleanType, 1), (T.IntegralType, 2), (T.FloatType, 4), (T.DoubleType, 4), (T.DecimalType, 5), (T.DateType, 6), (T.TimestampType, 6), (T.TimestampNTZType, 6), (T.StringType, 8), (T.BinaryType, 10), (T.ArrayType, 11), (T.StructType, 13)]
-_EPOCH = dt.datetime(1970, 1, 1)
-
+#: Bytes that are copied at once.
+_PART = 8 << 20
 
-def encoder(kind: T.DataType, symbols: Symbols):
-    """A function from a column's Python values to binary Ion; null is the type's null."""
-    code = next((n for t, n in _NULLS if isinstance(kind, t)), 0)
-    null = bytes((code << 4 | 15,))
-    encode = _encoder(kind, symbols)
-    return lambda v: null if v is None else encode(v)
 
-
-def _encoder(kind: T.DataType, symbols: Symbols):
-    if isinstance(kind, T.BooleanType):
-        return lambda v: b"\x11" if v else b"\x10"
-    if isinstance(kind, T.IntegralType):
-        return encode_int
-    if isinstance(kind, T.FloatType):
-        return lambda v: b"\x44" + struct.pack(">f", v)
-    if isinstance(kind, T.DoubleType):
-        return lambda v: b"\x48" + struct.pack(">d", v)
-    if isinstance(kind, T.DecimalType):
-        return lambda v: encode_decimal(Decimal(v))
-    if isinstance(kind, T.DateType):
+def single(kind: pa.DataType):
+    """A function from one Python value of an Arrow type to binary Ion, for the types and
+    ranges that have no form for whole columns."""
+    if pa.types.is_decimal(kind):
+        return encode_decimal
+    if pa.types.is_date(kind):
         return lambda v: encode_timestamp(Timestamp(DAY, v.year, v.month, v.day))
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+    if pa.types.is_timestamp(kind):
 
         def timestamp(v: dt.datetime) -> bytes:
             if v.tzinfo is not None:
@@ -285,17 +268,7 @@ def _encoder(kind: T.DataType, symbols: Symbols):
             return encode_timestamp(Timestamp(SECOND, v.year, v.month, v.day, v.hour, v.minute, v.second, f"{v.microsecond:06d}" if v.microsecond else "", 0))
 
         return timestamp
-    if isinstance(kind, T.StringType):
-        return lambda v: tagged(8, v.encode())
-    if isinstance(kind, T.BinaryType):
-        return lambda v: tagged(10, v)
-    if isinstance(kind, T.ArrayType):
-        item = encoder(kind.elementType, symbols)
-        return lambda v: tagged(11, b"".join(map(item, v)))
-    if isinstance(kind, T.StructType):
-        fields = [(f.name, varuint(symbols.sid(f.name)), encoder(f.dataType, symbols)) for f in kind]
-        return lambda v: tagged(13, b"".join(head + e(v[n]) for n, head, e in fields))
-    if isinstance(kind, T.MapType):
+    if pa.types.is_map(kind):
 
         def shown(v) -> bytes:
             pairs = v.items() if isinstance(v, dict) else v
