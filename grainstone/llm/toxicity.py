@@ -48,8 +48,10 @@ _GAP = b"  "
 #: Begins every window and both dictionaries, so that each window has a match and is
 #: compressed; words have none of these bytes.
 _FRAME = b"#@%!~^|{}<>=+_&$"
-#: zstandard doesn't find what is at the very end of a dictionary.
+#: zstandard doesn't find what is at the very end of a dictionary, and doesn't look for
+#: matches in the last 16 bytes of what it compresses, so each window has bytes to spare.
 _END = bytes(range(1, 10))
+_TAIL = bytes(range(10, 26))
 
 
 @dataclass
@@ -89,9 +91,9 @@ class Gains:
         self.ordinary, self.toxic = of(same), of(toxic)
 
     def of(self, text: bytes) -> np.ndarray:
-        lengths = [(len(self.ordinary(w)), len(self.toxic(w))) for w in windows(text)]
-        table = np.array(lengths, np.int64).reshape(-1, 2)
-        return table[:, 0] - table[:, 1]
+        own = windows(text)
+        ordinary, toxic = (np.fromiter(map(len, map(f, own)), np.int64, len(own)) for f in (self.ordinary, self.toxic))
+        return ordinary - toxic
 
 
 _HELD: dict[tuple[bytes, bytes], Gains] = {}
@@ -113,8 +115,8 @@ def windows(text: bytes) -> list[bytes]:
     """Every WORDS words in a row, framed; fewer words are one window, none are none."""
     words = alnum_words(text)
     if len(words) <= WORDS:
-        return [_FRAME + framed(words)] if words else []
-    start, end = _FRAME + _GAP, _GAP
+        return [_FRAME + framed(words) + _TAIL] if words else []
+    start, end = _FRAME + _GAP, _GAP + _TAIL
     return [start + w + end for w in map(_GAP.join, zip(*(words[i:] for i in range(WORDS))))]
 
 
@@ -140,6 +142,20 @@ def strings(data: bytes) -> np.ndarray:
     return found
 
 
+def telling_words(text: bytes, telling: np.ndarray) -> list[bytes]:
+    """The text's words, framed, that have a telling string; all, if there is none at all."""
+    words = alnum_words(text)
+    if not len(telling) or not words:
+        return [framed([w]) for w in words]
+    found = strings(framed(words))
+    at = np.minimum(np.searchsorted(telling, found), len(telling) - 1)
+    before = np.concatenate([[0], np.cumsum(telling[at] == found)])
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    low = np.cumsum(size + len(_GAP)) - size - len(_GAP)
+    high = np.maximum(low + size + 2 * len(_GAP) - STRING + 1, low)
+    return [framed([words[i]]) for i in np.flatnonzero(before[high] > before[low]).tolist()]
+
+
 def _copies(text: bytes, seed: int) -> int:
     """The least hash of a text's five-word shingles: near copies mostly have it in common."""
     words = space_words(text)
@@ -214,15 +230,14 @@ def dictionaries(learn: DataFrame) -> tuple[bytes, bytes]:
     def toxic(batches):
         for batch in batches:
             for _, texts in runs(batch):
-                words = (framed([w]) for t in texts for w in alnum_words(t))
-                own = [w for w in words if not len(telling) or np.isin(strings(w), telling, assume_unique=False).any()]
+                own = [w for t in texts for w in telling_words(t, telling)]
                 yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary())], ["w"])
 
     def ordinary(batches):
         for batch in batches:
             for _, texts in runs(batch):
                 for t in texts:
-                    own = [w[len(_FRAME) :] for w in windows(t)]
+                    own = [w[len(_FRAME) : -len(_TAIL)] for w in windows(t)]
                     at = np.unique(np.linspace(0, len(own) - 1, min(len(own), WINDOWS_A_ROW)).astype(int)) if own else []
                     yield pa.RecordBatch.from_arrays([pa.array([own[i] for i in at], pa.binary())], ["w"])
 

@@ -81,7 +81,7 @@ def brute_toxicity(model, text):
     count = max(len(words) - 2, 1) if words else 0
     gains = []
     for i in range(count):
-        window = frame + b"  " + "  ".join(words[i : i + 3]).encode() + b"  "
+        window = frame + b"  " + "  ".join(words[i : i + 3]).encode() + b"  " + bytes(range(10, 26))
         gains.append(length(window, repeat[len(repeat) - len(model.toxic) :]) - length(window, model.toxic))
     high = sorted(gains, reverse=True)
     x = [sum(gains) / count if count else 0.0]
@@ -102,6 +102,17 @@ def test_toxicity_against_brute_force(corpus):
         assert score == pytest.approx(brute_toxicity(model, text or ""), abs=1e-9)
 
 
+def test_telling_words():
+    rng = random.Random(2)
+    for _ in range(200):
+        words = ["".join(rng.choice("abcé") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(0, 20))]
+        known = rng.sample(words, min(len(words), 2))
+        telling = np.unique(np.concatenate([np.zeros(0, np.int64), *(toxicity.strings(toxicity.framed([w.encode()]))[-1:] for w in known)]))
+        own = [toxicity.framed([w.encode()]) for w in words]
+        want = [w for w in own if not len(telling) or set(toxicity.strings(w).tolist()) & set(telling.tolist())]
+        assert toxicity.telling_words(" ".join(words).encode(), telling) == want
+
+
 def test_toxicity_in_a_small_language(spark):
     """Words with accents, that few rows have, are learnt beside those that many have."""
     rng = random.Random(8)
