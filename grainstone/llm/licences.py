@@ -1,41 +1,32 @@
-"""Licence scans: lines and whole texts compared with templates by Dice on word bigrams.
+"""Licence scans: windows of whole texts compared with templates by Dice on word bigrams.
 
-Texts are normalised to words of a-z, 0-9 and non-ASCII characters. The Dice coefficient of
-two multisets of bigrams is 2 * common / (a + b), at most 2 * min(a, b) / (a + b); so only
-templates with (t / (2 - t)) * a <= b <= ((2 - t) / t) * a bigrams can reach a threshold t,
-and of those only templates that share a bigram. What is left is compared exactly.
+Texts are normalised to words of a-z, 0-9 and non-ASCII characters, without regard to lines.
+The Dice coefficient of two multisets of bigrams is 2 * common / (a + b). Each run of as many
+bigrams as a template has is compared with it; a text with fewer is compared as a whole.
+
+Sizes prune first: common is at most min(a, b), so a text of a bigrams can only reach a
+threshold t with templates of at most a * (2 - t) / t bigrams, and no window can have more
+in common with a template than the whole text has. Only templates that get by slide. The
+common bigrams of all windows come from one pass over the occurrences: one counts for the
+windows that hold it and not already as many before it as the template has.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..cluster import ship_code
+from .licence_texts import TEMPLATES
 from .words import alnum_words, runs
 
 THRESHOLD = 0.8
-
-#: Notices by which works name their licences, and short public texts.
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "Apache-2.0-header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0',
-    "MIT": "Released under the MIT License.",
-    "MIT-grant": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction',
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "LGPL-2.1": "This library is licensed under the GNU Lesser General Public License, version 2.1.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
-    "BSD-2-3": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
-    "ISC-grant": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-    "reserved": "All rights reserved.",
-}
+#: Slack for thresholds that aren't binary fractions.
+SLACK = 1e-9
 
 
 def bigrams(words: list[bytes]) -> Counter:
@@ -43,63 +34,84 @@ def bigrams(words: list[bytes]) -> Counter:
 
 
 class Matcher:
-    """Templates by size and by bigram."""
+    """Templates, their bigrams numbered."""
 
     def __init__(self, templates: dict[str, str], threshold: float):
         self.threshold = threshold
-        self.grams = [(name, bigrams(alnum_words(text.encode()))) for name, text in sorted(templates.items())]
-        self.grams = [(n, g) for n, g in self.grams if g]
-        self.size = [g.total() for _, g in self.grams]
-        self.least = min((threshold / (2 - threshold) * s for s in self.size), default=0.0)
-        self.most = max(((2 - threshold) / threshold * s for s in self.size), default=-1.0)
-        self.having: dict[tuple[bytes, bytes], list[int]] = {}
-        for i, (_, g) in enumerate(self.grams):
+        found = [(name, bigrams(alnum_words(text.encode()))) for name, text in sorted(templates.items())]
+        found = [(n, g) for n, g in found if g]
+        self.names = [n for n, _ in found]
+        self.size = np.array([g.total() for _, g in found], np.int64)
+        self.least = min((threshold / (2 - threshold) * s for s in self.size.tolist()), default=float("inf"))
+        self.ids: dict[tuple[bytes, bytes], int] = {}
+        for _, g in found:
             for b in g:
-                self.having.setdefault(b, []).append(i)
-        self.first = frozenset(b[0] for b in self.having)
-
-    def matches(self, words: list[bytes]) -> list[tuple[str, float]]:
-        """Templates that reach the threshold, with their coefficients."""
+                self.ids.setdefault(b, len(self.ids))
+        self.count = np.zeros((len(found), len(self.ids)), np.int64)
+        for i, (_, g) in enumerate(found):
+            for b, n in g.items():
+                self.count[i, self.ids[b]] = n
+        self.first = frozenset(b[0] for b in self.ids)
+
+    def spans(self, words: list[bytes]) -> list[tuple[str, float, int]]:
+        """Templates that windows match: name, highest coefficient, and how many runs of
+        neighbouring windows reach the threshold."""
         n = len(words) - 1
-        if n < self.least or n > self.most or self.first.isdisjoint(words):
+        if n < 1 or n < self.least - SLACK or self.first.isdisjoint(words):
+            return []
+        get = self.ids.get
+        ids = np.fromiter((get(b, -1) for b in zip(words, words[1:])), np.int64, n)
+        at = np.flatnonzero(ids >= 0)
+        if len(at) * 2 < self.threshold * (self.least + 1) - SLACK:
             return []
-        near = {i for b in zip(words, words[1:]) if b in self.having for i in self.having[b]}
-        found, own = [], None
-        for i in sorted(near):
-            s = self.size[i]
-            if 2 * min(n, s) >= self.threshold * (n + s) - 1e-9:
-                own = own or bigrams(words)
-                dice = 2 * (own & self.grams[i][1]).total() / (n + s)
-                if dice >= self.threshold:
-                    found.append((self.grams[i][0], dice))
+        own, many = np.unique(ids[at], return_counts=True)
+        common = np.minimum(self.count[:, own], many).sum(1)
+        width = np.minimum(self.size, n)
+        found = []
+        for i in np.flatnonzero(2 * common >= self.threshold * (width + self.size) - SLACK).tolist():
+            same = self.common(ids, at, self.count[i], int(width[i]), n)
+            total = int(width[i]) + int(self.size[i])
+            hit = 2 * same >= self.threshold * total - SLACK
+            if hit.any():
+                found.append((self.names[i], 2 * int(same.max()) / total, int(hit[0]) + int((hit[1:] & ~hit[:-1]).sum())))
         return found
 
-    def scan(self, text: bytes) -> tuple[int, str | None, float, list[str]]:
-        """Lines (and the whole text, if it has several) that match; best; all names."""
-        lines = text.split(b"\n")
-        hits = 0
-        best: tuple[float, str] | None = None
-        names = set()
-        parts = [alnum_words(x) for x in lines]
-        whole = [w for p in parts for w in p] if len(parts) > 1 and sum(map(len, parts)) <= self.most + 1 else None
-        for words in parts if whole is None else [*parts, whole]:
-            if len(words) > 1 and (found := self.matches(words)):
-                hits += 1
-                for name, dice in found:
-                    names.add(name)
-                    if best is None or dice > best[0] or (dice == best[0] and name < best[1]):
-                        best = (dice, name)
-        return hits, best and best[1], best[0] if best else 0.0, sorted(names)
+    @staticmethod
+    def common(ids: np.ndarray, at: np.ndarray, count: np.ndarray, width: int, n: int) -> np.ndarray:
+        """For each window's start, how many bigrams it has in common with the template."""
+        p = at[count[ids[at]] > 0]
+        order = np.lexsort((p, ids[p]))
+        p, own = p[order], ids[p][order]
+        back = np.arange(len(p)) - count[own]  # the occurrence that must lie before the window
+        same = back >= 0
+        same[same] = own[back[same]] == own[same]
+        before = np.where(same, p[np.maximum(back, 0)], -1)
+        low = np.maximum(np.maximum(p - width, before) + 1, 0)
+        high = np.minimum(p, n - width)
+        live = low <= high
+        delta = np.zeros(n - width + 2, np.int64)
+        np.add.at(delta, low[live], 1)
+        np.add.at(delta, high[live] + 1, -1)
+        return np.cumsum(delta[:-1])
+
+    def scan(self, text: bytes) -> tuple[int, str | None, float, str]:
+        """Matching spans, best template, its coefficient, all templates."""
+        found = self.spans(alnum_words(text))
+        if not found:
+            return 0, None, 0.0, ""
+        best = min(found, key=lambda x: (-x[1], x[0]))
+        return sum(x[2] for x in found), best[0], best[1], ",".join(sorted(x[0] for x in found))
 
 
 def scan_licences(docs: DataFrame, key: str = "doc_id", templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of docs: key, n_matches, licence, dice, licences.
 
-    n_matches counts the lines that match a template, and the whole text if it has several
-    lines and matches; licence is the template of the highest coefficient (of equals the
-    first by name), licences all that match, sorted and joined by commas. Null, empty and
-    wordless texts match nothing, as do templates of fewer than two words. Repeated rows
-    each get theirs; other columns don't matter; no rows give no rows.
+    n_matches counts the spans that match, a span being a run of neighbouring windows that
+    reach the threshold with one template; licence is the template of the highest coefficient
+    (of equals the first by name), licences all that match, sorted and joined by commas. Null,
+    empty and wordless texts match nothing, as do texts and templates of fewer than two words.
+    Very long texts are compared to their end. Repeated rows each get theirs, null keys stay
+    null; other columns don't matter; no rows give no rows.
     """
     ship_code(docs.sparkSession)
     kind = dict(docs.dtypes)[key]
@@ -109,9 +121,7 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", templates: dict[str, str
         for batch in batches:
             for part, texts in runs(batch):
                 columns = list(zip(*(matcher.scan(t) for t in texts)))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.float64()), pa.array([",".join(x) for x in columns[3]], pa.string())],
-                    ["k", "n_matches", "licence", "dice", "licences"],
-                )
+                kinds = (pa.int64(), pa.string(), pa.float64(), pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0), *map(pa.array, columns, kinds)], ["k", "n_matches", "licence", "dice", "licences"])
 
     return docs.select(F.col(key).alias("k"), "text").mapInArrow(run, f"k {kind}, n_matches long, licence string, dice double, licences string").withColumnRenamed("k", key)

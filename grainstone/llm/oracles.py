@@ -46,26 +46,35 @@ FROM keyed
 
 
 def licences(templates: dict[str, str], threshold: float) -> str:
-    """Dice coefficients of every line and text with every template."""
+    """Dice coefficients of every window of a text with every template of its size.
+
+    The k-th occurrence of a bigram that a template has m times counts for the starts after
+    the (k - m)-th, as long as the window holds it.
+    """
     rows = ", ".join("({}, {})".format(*("'" + x.replace("'", "''") + "'" for x in item)) for item in templates.items())
     low = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     return f"""
-WITH t AS (SELECT name, {low.format("line")} AS w FROM (VALUES {rows}) AS v(name, line)),
-lines AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, false AS whole FROM documents
-  UNION ALL SELECT doc_id, text, true FROM documents WHERE contains(text, chr(10))),
-numbered AS (SELECT row_number() OVER () AS part, doc_id, {low.format("line")} AS w FROM lines),
-a AS (SELECT part, g, count(*) AS n FROM (SELECT part, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM numbered) GROUP BY ALL),
-b AS (SELECT name, g, count(*) AS n FROM (SELECT name, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM t) GROUP BY ALL),
-common AS (SELECT part, name, sum(least(a.n, b.n)) AS c FROM a JOIN b USING (g) GROUP BY ALL),
+WITH t AS (SELECT name, w, len(w) - 1 AS s FROM (SELECT name, {low.format("line")} AS w FROM (VALUES {rows}) AS v(name, line)) WHERE len(w) > 1),
+d AS (SELECT row_number() OVER () AS part, doc_id, {low.format("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT name, g, count(*) AS m FROM (SELECT name, unnest([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS g FROM t) GROUP BY ALL),
+a AS (
+  SELECT part, p, w[p + 1] || ' ' || w[p + 2] AS g FROM (SELECT part, w, unnest(range(0, len(w) - 1)) AS p FROM d)),
+ranked AS (SELECT part, p, g, row_number() OVER (PARTITION BY part, g ORDER BY p) AS k FROM a WHERE g IN (SELECT g FROM b)),
+occurs AS (
+  SELECT ranked.part, name, ranked.p, coalesce(before.p, -1) AS q
+  FROM ranked JOIN b USING (g) LEFT JOIN ranked AS before ON before.part = ranked.part AND before.g = b.g AND before.k = ranked.k - b.m),
+sized AS (
+  SELECT part, name, p, q, len(d.w) - 1 AS n, s, least(s, len(d.w) - 1) AS width FROM occurs JOIN d USING (part) JOIN t USING (name)),
+starts AS (
+  SELECT part, name, width + s AS total, unnest(range(greatest(p - width + 1, q + 1, 0), least(p, n - width) + 1)) AS start FROM sized),
 hits AS (
-  SELECT doc_id, part, name, 2 * c / (len(numbered.w) - 1 + len(t.w) - 1) AS dice
-  FROM common JOIN numbered USING (part) JOIN t USING (name)
-  WHERE 2 * c / (len(numbered.w) - 1 + len(t.w) - 1) >= {threshold}),
+  SELECT part, name, start, 2 * count(*) / any_value(total) AS dice FROM starts GROUP BY part, name, start
+  HAVING 2 * count(*) >= {threshold} * any_value(total) - 1e-9),
+marked AS (SELECT *, coalesce(lag(start) OVER (PARTITION BY part, name ORDER BY start), -2) <> start - 1 AS begins FROM hits),
+named AS (SELECT part, name, max(dice) AS dice, count(*) FILTER (begins) AS spans FROM marked GROUP BY part, name),
 best AS (
-  SELECT doc_id, count(DISTINCT part) AS n_matches, first(name ORDER BY dice DESC, name) AS licence, max(dice) AS dice,
-         string_agg(DISTINCT name, ',' ORDER BY name) AS licences
-  FROM hits GROUP BY doc_id)
+  SELECT part, sum(spans) AS n_matches, first(name ORDER BY dice DESC, name) AS licence, max(dice) AS dice, string_agg(name, ',' ORDER BY name) AS licences
+  FROM named GROUP BY part)
 SELECT d.doc_id, coalesce(n_matches, 0)::BIGINT AS n_matches, licence, coalesce(dice, 0)::DOUBLE AS dice, coalesce(licences, '') AS licences
-FROM documents d LEFT JOIN best USING (doc_id)
+FROM d LEFT JOIN best USING (part)
 """
