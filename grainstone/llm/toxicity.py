@@ -36,6 +36,8 @@ from .words import alnum_words, filter_rows, runs, space_words
 SAMPLE = 4000
 #: Words of a window, and bytes of the ordinary and (at most) the toxic dictionary.
 WORDS, ORDINARY, TOXIC = 3, 112 << 10, 16 << 10
+#: Gain of a window beside which the next ones are compared, too.
+LOOK = 2
 #: Windows of each ordinary row that its dictionary is trained on, at most, evenly spaced;
 #: so many words for the toxic one, at most, in proportion to their counts.
 WINDOWS_A_ROW, TOXIC_WORDS = 64, 200_000
@@ -92,6 +94,15 @@ class Gains:
 
     def of(self, text: bytes) -> np.ndarray:
         own = windows(text)
+        gains = np.zeros(len(own) + 1, np.int64)
+        gains[:-1:2] = self._saved(own[::2])
+        near = gains >= LOOK
+        between = np.flatnonzero(near[:-2:2] | near[2::2]) * 2 + 1 if len(own) > 1 else np.zeros(0, np.int64)
+        between = between[between < len(own)]
+        gains[between] = self._saved([own[i] for i in between.tolist()])
+        return gains[:-1]
+
+    def _saved(self, own: list[bytes]) -> np.ndarray:
         ordinary, toxic = (np.fromiter(map(len, map(f, own)), np.int64, len(own)) for f in (self.ordinary, self.toxic))
         return ordinary - toxic
 

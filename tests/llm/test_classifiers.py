@@ -83,6 +83,8 @@ def brute_toxicity(model, text):
     for i in range(count):
         window = frame + b"  " + "  ".join(words[i : i + 3]).encode() + b"  " + bytes(range(10, 26))
         gains.append(length(window, repeat[len(repeat) - len(model.toxic) :]) - length(window, model.toxic))
+    even = [g if i % 2 == 0 else 0 for i, g in enumerate(gains)]
+    gains = [g if i % 2 == 0 or max(even[i - 1 : i + 2]) >= 2 else 0 for i, g in enumerate(gains)]
     high = sorted(gains, reverse=True)
     x = [sum(gains) / count if count else 0.0]
     x += [(sum(g >= k for g in gains) / count) ** 0.5 if count else 0.0 for k in (3, 5)]
