@@ -9,8 +9,11 @@ import threading
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Words whose ids a worker keeps; at that size the store is emptied and fills anew.
-KEPT_WORDS = 400_000
+#: Bytes of the words whose ids a worker keeps, and of the pieces that new words are made
+#: of; at that size a store is emptied and fills anew.
+KEPT_WORDS, KEPT_PIECES = 72 << 20, 18 << 20
+#: What an entry of a store takes beside its bytes.
+_ENTRY = 160
 _HELD: dict[str, WordIds] = {}
 _LOCK = threading.Lock()
 
@@ -45,6 +48,7 @@ class WordIds:
             self.stops[i] = token.removesuffix("</w>")[-1:] in (".", "!", "?") and token.endswith("</w>")
         self.kept: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.kept_size = self.pieces_size = 0
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
@@ -54,9 +58,11 @@ class WordIds:
         for piece in self.cut(text.lower()):
             known = pieces.get(piece)
             if known is None:
-                if len(pieces) >= KEPT_WORDS:
+                if self.pieces_size >= KEPT_PIECES:
                     pieces.clear()
+                    self.pieces_size = 0
                 known = pieces[piece] = _packed([t.id for t in self.model.tokenize(piece.translate(self.alphabet))])
+                self.pieces_size += _ENTRY + len(piece) + len(known)
             out.append(known)
         return b"".join(out)
 
@@ -67,10 +73,12 @@ class WordIds:
             return [_packed(ids)]
         words = text.lower().split()
         kept = self.kept
-        if len(kept) > KEPT_WORDS:
+        if self.kept_size > KEPT_WORDS:
             kept.clear()
+            self.kept_size = 0
         for w in set(words).difference(kept):
-            kept[w] = self._word(w)
+            kept[w] = ids = self._word(w)
+            self.kept_size += _ENTRY + len(w) + len(ids)
         return list(map(kept.__getitem__, words))
 
 
