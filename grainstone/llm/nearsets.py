@@ -1,8 +1,10 @@
 """Near copies by exact Jaccard similarity of word shingles, with one document kept of each.
 
-No radius of 64-bit fingerprints proposes every pair of similarity 0.8: such pairs lie about
-10 bits apart, some over 15, where unrelated ones begin. Pairs are therefore proposed by a
-prefix filter, which loses none: of n shingles, in one order for all documents, the first
+SimHash fingerprints of the shingles and the vantage-point shards of `simhash` propose pairs
+first, and what they propose is compared exactly. But no radius of 64-bit fingerprints
+proposes every pair of similarity 0.8: such pairs lie about 10 bits apart, some over 15,
+where unrelated ones begin. The rest is therefore proposed by a prefix filter, which loses
+none: of n shingles, in one order for all documents, the first
 n - ceil(t n) + 1 must share one with any set of similarity t. The order is by counts over
 cells of shingles, rare ones first; any order is right, this one makes few pairs. Of two sets
 the parities of 1,024 cells differ in no more cells than the sets differ in shingles, so
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage, ship_code
 from .components import components
-from .simhash import _numbered, shingle_hashes
+from .simhash import RADIUS, _numbered, _votes, edges_within, majority, shingle_hashes
 from .words import runs, space_words
 
 SHINGLE = 5
@@ -60,9 +62,9 @@ def _cells(own: np.ndarray) -> np.ndarray:
 
 
 def _told(docs: DataFrame, key: str, size: int) -> DataFrame:
-    """(k, row, node, bits) for each row of docs, and `counts` of the cells for each task."""
+    """(k, row, node, fp, bits) for each row of docs, and `counts` of the cells for each task."""
     kind = dict(docs.dtypes)[key]
-    names = ["k", "row", "node", "bits", "counts"]
+    names = ["k", "row", "node", "fp", "bits", "counts"]
 
     def run(batches):
         at = TaskContext.get().partitionId() << 33
@@ -76,14 +78,14 @@ def _told(docs: DataFrame, key: str, size: int) -> DataFrame:
                 bits = np.stack([np.packbits(np.bincount((s & np.uint64(_PARITY - 1)).astype(np.int64), minlength=_PARITY) & 1).view(np.int64) for s in sets])
                 ends = np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), pa.array(np.arange(at, at + len(texts))), _signed([_name(s) for s in sets]), pa.ListArray.from_arrays(pa.array(ends), pa.array(bits.ravel())), pa.nulls(len(texts), pa.list_(pa.int64()))],
+                    [rows.column(0), pa.array(np.arange(at, at + len(texts))), _signed([_name(s) for s in sets]), _signed([majority(_votes(s), len(s)) for s in sets]), pa.ListArray.from_arrays(pa.array(ends), pa.array(bits.ravel())), pa.nulls(len(texts), pa.list_(pa.int64()))],
                     names,
                 )
                 at += len(texts)
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(1, k), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.int64())), pa.array([total], pa.list_(pa.int64()))], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, k), *[pa.nulls(1, pa.int64())] * 3, pa.nulls(1, pa.list_(pa.int64())), pa.array([total], pa.list_(pa.int64()))], names)
 
-    return docs.select(F.col(key).alias("k"), "text").mapInArrow(run, f"k {kind}, row long, node long, bits array<long>, counts array<long>")
+    return docs.select(F.col(key).alias("k"), "text").mapInArrow(run, f"k {kind}, row long, node long, fp long, bits array<long>, counts array<long>")
 
 
 def _prefixes(docs: DataFrame, size: int, similarity: float, weights) -> DataFrame:
@@ -155,11 +157,22 @@ def _near(similarity: float):
     return F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m") - F.lit(1e-9)
 
 
+def _seeds(docs: DataFrame, nodes: DataFrame, similarity: float, size: int) -> DataFrame:
+    """Similar pairs (a, b) among those whose fingerprints lie within RADIUS: each node with
+    the least one of its fingerprint, and those with one another."""
+    points = cut_lineage(nodes.groupBy("fp").agg(F.min("node").alias("head")))
+    same = nodes.select("node", "fp").join(points, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
+    near = edges_within(points.select("fp"), RADIUS).distinct()
+    near = near.join(points.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(points.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
+    pairs = cut_lineage(same.unionByName(near.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    return cut_lineage(_similar(pairs, _read(docs, nodes, wanted, size), similarity))
+
+
 def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: float, size: int) -> DataFrame:
     """(node, component) for the nodes that have a similar one."""
-    spark = buckets.sparkSession
-    edges = spark.createDataFrame([], "a long, b long")
-    found = spark.createDataFrame([], "node long, component long")
+    edges = _seeds(docs, nodes, similarity, size)
+    found = cut_lineage(components(edges))
     rows = buckets.count()
     for turn in range(_ROUNDS + 1):
         known = buckets.join(found, "node", "left").select("s", "node", "n", F.coalesce("component", "node").alias("label"))
@@ -202,7 +215,7 @@ def representatives(docs: DataFrame, key: str = "doc_id", similarity: float = SI
     counts = told.where("counts is not null").select(F.posexplode("counts").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     weights[counts["cell"].to_numpy()] = counts["n"].to_numpy()
     least = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("least")
-    nodes = cut_lineage(told.where("node is not null").groupBy("node").agg(least, F.first("bits").alias("bits")))
+    nodes = cut_lineage(told.where("node is not null").groupBy("node").agg(least, F.first("fp").alias("fp"), F.first("bits").alias("bits")))
 
     own = Window.partitionBy("s")
     prefixes = _prefixes(docs, size, similarity, spark.sparkContext.broadcast(weights))

@@ -46,20 +46,25 @@ def shingle_hashes(words: list[bytes], size: int) -> tuple[Iterator[int], int]:
     return map(xxhash.xxh64_intdigest, joined, repeat(SEED)), len(words) - size + 1
 
 
+def _votes(h: np.ndarray) -> np.ndarray:
+    """For each of 64 bits, in how many of the hashes it is set."""
+    return np.unpackbits(h.view(np.uint8).reshape(len(h), 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+
+
+def majority(votes: np.ndarray, n: int) -> int:
+    """The number whose bits are set in over half of n hashes; 0 of none."""
+    return int(np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0]) if n else 0
+
+
 def fingerprint_batch(texts: list[bytes], size: int = SHINGLE) -> np.ndarray:
     """Fingerprints (uint64) of UTF-8 texts: a bit is 1 if set in over half the hashes."""
     out = np.zeros(len(texts), np.uint64)
     for i, t in enumerate(texts):
         hashes, n = shingle_hashes(space_words(t), size)
-        if n:
-            votes = np.zeros(64, np.int64)
-            rest = n
-            while rest:
-                part = min(rest, 1 << 17)
-                h = np.fromiter(hashes, "<u8", part)
-                votes += np.unpackbits(h.view(np.uint8).reshape(part, 8), axis=1, bitorder="little").sum(0, dtype=np.int32)
-                rest -= part
-            out[i] = np.packbits(votes * 2 > n, bitorder="little").view("<u8")[0]
+        votes = np.zeros(64, np.int64)
+        for low in range(0, n, 1 << 17):
+            votes += _votes(np.fromiter(hashes, "<u8", min(n - low, 1 << 17)))
+        out[i] = majority(votes, n)
     return out
 
 
