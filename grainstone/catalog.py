@@ -9,13 +9,15 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.sql import list_extract, register
 from .functions.to_ion import to_ion
-from .sources.reader import IonFrame, count_ion, read_ion
+from .sources.reader import IonFrame, count_ion, ion_view, list_files, read_ion
 from .sources.writer import write_ion
+from .streaming.lines import read_ion_stream, write_ion_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -117,7 +119,7 @@ def ion_multi_file_glob(spark, sf_dir):
     base = scratch(spark)
     for i in range(2):
         write_ion(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), f"{base}/{i}")
-    return read_ion(spark, f"{base}/*/*.txt")
+    return read_ion(spark, f"{base}/*/*.ion")
 
 
 @query("SELECT r_regionkey::BIGINT AS a, NULL::VARCHAR AS b FROM region UNION ALL SELECT NULL, n_name FROM nation")
@@ -332,3 +334,261 @@ def ion_top_k(spark, sf_dir):
 def ion_binary_float_lists(spark, sf_dir):
     path = stored(spark, table(spark, sf_dir, "embeddings"), binary=True)
     return read_ion(spark, path, columns={"vec_id": "BIGINT", "embedding": "DOUBLE[]", "label": "INTEGER"})
+
+
+# -- options of reading -------------------------------------------------------------------
+
+
+@query("SELECT n_nationkey::BIGINT AS id, CASE WHEN n_nationkey >= 20 THEN n_name END AS late, 1::BIGINT AS columns_of_five FROM nation")
+def ion_sample_size(spark, sf_dir):
+    key = F.col("n_nationkey")
+    line = F.concat(F.lit("{id: "), key, F.when(key >= 20, F.concat(F.lit(', late: "'), "n_name", F.lit('"'))).otherwise(""), F.lit("}"))
+    path = scratch(spark)
+    table(spark, sf_dir, "nation").select(line.alias("value"), key).coalesce(1).sortWithinPartitions("n_nationkey").select("value").write.text(path)
+    five = len(read_ion(spark, path, sample_size=5).columns)
+    return read_ion(spark, path, sample_size=-1).withColumn("columns_of_five", F.lit(five).cast("long"))
+
+
+@query("SELECT r_regionkey::BIGINT AS a FROM region UNION ALL SELECT NULL FROM nation")
+def ion_sample_files(spark, sf_dir):
+    one = stored(spark, table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("a")).coalesce(1))
+    two = stored(spark, table(spark, sf_dir, "nation").select(F.col("n_name").alias("b")).coalesce(1))
+    return read_ion(spark, [one, two], union_by_name=True, maximum_sample_files=1)
+
+
+@query("SELECT count(*) AS n FROM customer")
+def ion_profile(spark, sf_dir):
+    df = read_ion(spark, stored(spark, table(spark, sf_dir, "customer")), profile=True, **LINES)
+    df.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(df.ion_rows_read.value,)], "n long")
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def ion_use_extractor(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "customer"), binary=True)
+    return read_ion(spark, path, select=["c_custkey", "c_name"], use_extractor=True)
+
+
+def _refusals(spark: SparkSession, attempts: dict) -> DataFrame:
+    """What each attempt is refused with; an attempt that goes through says so."""
+
+    def said(attempt) -> str:
+        try:
+            attempt()
+        except Exception as e:
+            return str(e).splitlines()[0]
+        return "went through"
+
+    return spark.createDataFrame([(name, said(f)) for name, f in attempts.items()], "attempt string, message string")
+
+
+@query("""SELECT * FROM (VALUES
+  ('unknown', 'Invalid named parameter "formt" for function read_ion'),
+  ('null', 'read_ion does not allow NULL named parameters'),
+  ('no path', 'read_ion expects a file path or list of file paths'),
+  ('scalars with columns', 'read_ion cannot use "columns" when records=false')) AS v(attempt, message)""")
+def ion_read_refusals(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "region"))
+    return _refusals(spark, {
+        "unknown": lambda: read_ion(spark, path, formt="auto"),
+        "null": lambda: read_ion(spark, path, format=None),
+        "no path": lambda: read_ion(spark, None),
+        "scalars with columns": lambda: read_ion(spark, path, records=False, columns={"a": "BIGINT"}),
+    })
+
+
+@query("""SELECT * FROM (VALUES
+  ('unknown', 'Unknown option for COPY ... TO ... (FORMAT ION): "formt".'),
+  ('arity', 'array parameter expects a single argument.'),
+  ('binary format', 'date and timestamp formats can''t be used with binary Ion')) AS v(attempt, message)""")
+def ion_write_refusals(spark, sf_dir):
+    df, path = table(spark, sf_dir, "region"), scratch(spark)
+    return _refusals(spark, {
+        "unknown": lambda: write_ion(df, path, formt=1),
+        "arity": lambda: write_ion(df, path, array=[True, False]),
+        "binary format": lambda: write_ion(df, path, binary=True, dateformat="%Y"),
+    })
+
+
+@query("SELECT CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE n_nationkey::BIGINT END AS id, CASE WHEN n_nationkey % 3 = 0 THEN NULL ELSE n_name END AS name FROM nation")
+def ion_null_rows(spark, sf_dir):
+    key = F.col("n_nationkey")
+    line = F.when(key % 6 == 0, F.lit("null")).when(key % 6 == 3, F.lit("null.struct")).otherwise(F.concat(F.lit("{id: "), key, F.lit(', name: "'), "n_name", F.lit('"}')))
+    path = scratch(spark)
+    table(spark, sf_dir, "nation").select(line.alias("value")).write.text(path)
+    return read_ion(spark, path)
+
+
+@query("SELECT 'list among records' AS attempt, true AS refused")
+def ion_records_must_be_structs(spark, sf_dir):
+    path = scratch(spark)
+    table(spark, sf_dir, "nation").select(F.concat(F.lit("["), "n_nationkey", F.lit("]")).alias("value")).write.text(path)
+    found = _refusals(spark, {"list among records": lambda: read_ion(spark, path, columns={"id": "BIGINT"}).collect()})
+    return found.select("attempt", (F.col("message") != "went through").alias("refused"))
+
+
+@query("SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_acctbal > 0 GROUP BY c_mktsegment")
+def ion_view_sql(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "customer"), binary=True)
+    ion_view(spark, "ion_customer", path, columns={"c_mktsegment": "VARCHAR", "c_acctbal": "DOUBLE"})
+    return spark.sql("SELECT c_mktsegment, count(*) AS n FROM ion_customer WHERE c_acctbal > 0 GROUP BY c_mktsegment")
+
+
+@query("SELECT n_nationkey::BIGINT AS n_nationkey, n_name FROM nation UNION ALL SELECT n_nationkey::BIGINT, n_name FROM nation")
+def ion_mixed_encodings(spark, sf_dir):
+    """Twelve text files and then a binary one, read as lines."""
+    df = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    base = scratch(spark)
+    for i in range(12):
+        write_ion(df.where(F.col("n_nationkey") % 12 == i), f"{base}/{i:02d}")
+    write_ion(df, f"{base}/zz", binary=True)
+    return read_ion(spark, f"{base}/*/part*", columns={"n_nationkey": "BIGINT", "n_name": "VARCHAR"}, **LINES)
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer")
+def ion_gzip_both_encodings(spark, sf_dir):
+    df = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    even = F.col("c_custkey") % 2 == 0
+    one = stored(spark, df.where(even), compression="gzip")
+    two = stored(spark, df.where(~even), compression="gzip", binary=True)
+    columns = {"c_custkey": "BIGINT", "c_acctbal": "DOUBLE"}
+    return read_ion(spark, one, columns=columns, **LINES).unionAll(read_ion(spark, two, columns=columns))
+
+
+# -- types --------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey, o_orderstatus = 'F' AS done, o_orderpriority LIKE '1%' AS urgent FROM orders")
+def ion_boolean(spark, sf_dir):
+    df = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_orderstatus") == "F").alias("done"), F.col("o_orderpriority").startswith("1").cast("string").alias("urgent"))
+    return read_ion(spark, stored(spark, df, binary=True), columns={"o_orderkey": "BIGINT", "done": "BOOLEAN", "urgent": "BOOLEAN"})
+
+
+_BLOBS = "SELECT doc_id, hex(encode(text)) AS data FROM documents"
+
+
+@query(f"{_BLOBS} UNION ALL {_BLOBS}")
+def ion_blob(spark, sf_dir):
+    df = table(spark, sf_dir, "documents").select("doc_id", F.col("text").cast("binary").alias("data"))
+    columns = {"doc_id": "BIGINT", "data": "BLOB"}
+    both = read_ion(spark, stored(spark, df), columns=columns, **LINES).unionAll(read_ion(spark, stored(spark, df, binary=True), columns=columns))
+    return both.select("doc_id", F.hex("data").alias("data"))
+
+
+@query("SELECT c_custkey AS id, c_custkey * 2 AS v, 'x' AS w FROM customer")
+def ion_duplicate_fields(spark, sf_dir):
+    """Of a repeated field the last that isn't null counts, and names are told by case."""
+    key = F.col("c_custkey")
+    line = F.concat(F.lit("{id: "), key, F.lit(", v: 1, v: "), key * 2, F.lit(", w: \"x\", v: null, W: \"y\", ID: 0}"))
+    path = scratch(spark)
+    table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
+    return read_ion(spark, path, columns={"id": "BIGINT", "v": "BIGINT", "w": "VARCHAR"}, **LINES)
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%d.%m.%Y') AS day FROM orders")
+def ion_write_date_format(spark, sf_dir):
+    df = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    return read_ion(spark, stored(spark, df, dateformat="%d.%m.%Y"), **LINES)
+
+
+@query("SELECT '{''null'': ' || n_nationkey || ', ''a b'': \"' || n_name || '\", ''it\\''s'': ' || n_regionkey || ', _ok9: true, ''9x'': null}' AS ion FROM nation")
+def to_ion_symbols(spark, sf_dir):
+    df = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("null"), F.col("n_name").alias("a b"), F.col("n_regionkey").alias("it's"), F.lit(True).alias("_ok9"), F.lit(None).cast("int").alias("9x")
+    )
+    return df.select(to_ion(df).alias("ion"))
+
+
+# -- relational algebra over Ion ----------------------------------------------------------
+
+
+@query("SELECT o_orderpriority, count(*) AS n, sum(o_totalprice) > 0 AS some FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders) GROUP BY o_orderpriority")
+def ion_subquery(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "orders"))
+    ion_view(spark, "ion_orders", path, columns={"o_orderpriority": "VARCHAR", "o_totalprice": "DOUBLE"}, **LINES)
+    return spark.sql("WITH big AS (SELECT * FROM ion_orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM ion_orders)) SELECT o_orderpriority, count(*) AS n, sum(o_totalprice) > 0 AS some FROM big GROUP BY o_orderpriority")
+
+
+@query("SELECT i AS id, CASE WHEN i % 15 = 0 THEN 'both' WHEN i % 5 = 0 THEN 'five' ELSE 'none' END AS kind, '2020-01-01'::TIMESTAMP + to_seconds(i) AS ts FROM range(10000) AS r(i)")
+def ion_range(spark, sf_dir):
+    i = F.col("id")
+    df = spark.range(10000).select(i, F.when(i % 15 == 0, "both").when(i % 5 == 0, "five").otherwise("none").alias("kind"), F.expr("timestamp_ntz'2020-01-01' + make_interval(0, 0, 0, 0, 0, 0, id)").alias("ts"))
+    got = read_ion(spark, stored(spark, df, binary=True), columns={"id": "BIGINT", "kind": "VARCHAR", "ts": "TIMESTAMP"})
+    return got.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+@query("SELECT c_nationkey::BIGINT AS k FROM customer INTERSECT SELECT s_nationkey FROM supplier")
+def ion_intersect(spark, sf_dir):
+    customer = read_ion(spark, stored(spark, table(spark, sf_dir, "customer"), binary=True), columns={"c_nationkey": "BIGINT"})
+    supplier = read_ion(spark, stored(spark, table(spark, sf_dir, "supplier")), columns={"s_nationkey": "BIGINT"}, **LINES)
+    return customer.toDF("k").intersect(supplier.toDF("k"))
+
+
+@query("SELECT c_nationkey::BIGINT AS k FROM customer UNION SELECT s_nationkey FROM supplier")
+def ion_union_distinct(spark, sf_dir):
+    customer = read_ion(spark, stored(spark, table(spark, sf_dir, "customer"), binary=True), columns={"c_nationkey": "BIGINT"})
+    supplier = read_ion(spark, stored(spark, table(spark, sf_dir, "supplier")), columns={"s_nationkey": "BIGINT"}, **LINES)
+    return customer.toDF("k").unionAll(supplier.toDF("k")).distinct()
+
+
+@query("SELECT o_orderstatus, o_orderpriority, count(*) AS n, count(DISTINCT o_custkey) AS customers FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)")
+def ion_cube_distinct(spark, sf_dir):
+    orders = read_ion(spark, stored(spark, table(spark, sf_dir, "orders"), binary=True), columns=ORDERS, select=["o_orderstatus", "o_orderpriority", "o_custkey"])
+    return orders.cube("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"), F.countDistinct("o_custkey").alias("customers"))
+
+
+@query("SELECT c_custkey FROM customer WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')")
+def ion_semi_join(spark, sf_dir):
+    customer = read_ion(spark, stored(spark, table(spark, sf_dir, "customer")), columns={"c_custkey": "BIGINT"}, **LINES)
+    orders = read_ion(spark, stored(spark, table(spark, sf_dir, "orders"), binary=True), columns={"o_custkey": "BIGINT", "o_orderstatus": "VARCHAR"})
+    return customer.join(orders.where("o_orderstatus = 'F'"), F.col("o_custkey") == F.col("c_custkey"), "left_semi")
+
+
+@query("SELECT c_custkey, upper(c_mktsegment) AS u, substr(c_name, 1, 8) AS s, length(c_name) AS l, abs(c_acctbal) AS a, hex(c_custkey) AS h, replace(c_name, '#', '-') AS r FROM customer")
+def ion_scalar_functions(spark, sf_dir):
+    columns = {"c_custkey": "BIGINT", "c_name": "VARCHAR", "c_mktsegment": "VARCHAR", "c_acctbal": "DOUBLE"}
+    df = read_ion(spark, stored(spark, table(spark, sf_dir, "customer")), columns=columns, **LINES)
+    return df.select(
+        "c_custkey", F.upper("c_mktsegment").alias("u"), F.substring("c_name", 1, 8).alias("s"), F.length("c_name").cast("long").alias("l"), F.abs("c_acctbal").alias("a"), F.hex("c_custkey").alias("h"), F.replace("c_name", F.lit("#"), F.lit("-")).alias("r")
+    )
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def ion_streaming(spark, sf_dir):
+    """Files of Ion as a stream, written as Ion by a stream, and counted."""
+    path, out = stored(spark, table(spark, sf_dir, "events").select("event_id", "event_type")), scratch(spark)
+    rows = read_ion_stream(spark, path, columns={"event_id": "BIGINT", "event_type": "VARCHAR"})
+    write_ion_stream(rows, out, scratch(spark), availableNow=True).awaitTermination()
+    return read_ion(spark, out, columns={"event_type": "VARCHAR"}, **LINES).groupBy("event_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT p_partkey, reverse(p_brand) AS brand FROM part")
+def ion_user_function(spark, sf_dir):
+    df = read_ion(spark, stored(spark, table(spark, sf_dir, "part"), binary=True), columns={"p_partkey": "BIGINT", "p_brand": "VARCHAR"})
+    backwards = F.arrow_udf(lambda x: pc.utf8_reverse(x), "string")
+    return df.select("p_partkey", backwards("p_brand").alias("brand"))
+
+
+# -- options of writing -------------------------------------------------------------------
+
+
+@query("SELECT c_custkey FROM customer UNION ALL SELECT c_custkey FROM customer")
+def ion_write_append(spark, sf_dir):
+    df = table(spark, sf_dir, "customer").select("c_custkey")
+    path = stored(spark, df)
+    write_ion(df, path, mode="append")
+    return read_ion(spark, path, columns={"c_custkey": "BIGINT"}, **LINES)
+
+
+@query("SELECT n_nationkey::BIGINT AS n_nationkey, n_regionkey::BIGINT AS n_regionkey, 5::BIGINT AS files FROM nation")
+def ion_write_options(spark, sf_dir):
+    df, path = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey").coalesce(1), scratch(spark)
+    files = write_ion(df, path, partition_by=["n_regionkey"], write_partition_columns=True, file_extension="ioz", return_files=True, overwrite_or_ignore=True, per_thread_output=True)
+    return read_ion(spark, f"{path}/*/*.ioz").withColumn("files", F.lit(len(files)).cast("long"))
+
+
+@query("SELECT 3::BIGINT AS files, count(*) AS n FROM nation")
+def ion_write_records_per_file(spark, sf_dir):
+    path = stored(spark, table(spark, sf_dir, "nation").coalesce(1), binary=True, max_records_per_file=10, mode="overwrite")
+    df = read_ion(spark, path, columns={"n_nationkey": "BIGINT"})
+    return df.agg(F.lit(len(list_files(spark, path))).cast("long").alias("files"), F.count("*").alias("n"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from ..cluster import ship_code
+from .arrowtext import ion_texts
 from .to_ion import symbol
 
 _ESCAPES = str.maketrans({"\\": "\\\\", '"': '\\"', "\n": "\\n", "\r": "\\r", "\t": "\\t"})
@@ -48,7 +49,8 @@ def literal(value, kind: pa.DataType) -> str:
 
 
 def register(spark: SparkSession) -> None:
-    """Make `to_ion(anything)` and `list_extract(list, i)` known to SQL.
+    """Make `to_ion(anything)` known to SQL. (For `list_extract` SQL has `try_element_at`, which
+    keeps the elements' type; a registered function would need one type for all lists.)
 
     The SQL form takes its argument's type when it runs, in Arrow batches; in DataFrame code
     `to_ion` of this package is an expression and faster.
@@ -56,10 +58,9 @@ def register(spark: SparkSession) -> None:
     ship_code(spark)
 
     def text(x: pa.Array) -> pa.Array:
-        return pa.array([literal(v, x.type) for v in x.to_pylist()], pa.string())
+        return ion_texts(x, literal)
 
     spark.udf.register("to_ion", F.arrow_udf(text, "string"))
-    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION list_extract(l ARRAY<STRING>, i INT) RETURNS STRING RETURN CASE WHEN i = 0 THEN NULL ELSE try_element_at(l, i) END")
 
 
 def list_extract(values: Column | str, index: int) -> Column:

@@ -33,19 +33,18 @@ def _quoted(c: Column) -> Column:
 
 
 def python_float(c: Column) -> Column:
-    """The same text as `_float`, by Python's repr in Arrow batches.
+    """The same text as `_float`, in Arrow batches.
 
     Rows with many floats of 17 digits are written faster so: the expression's formatting
     takes some microseconds a number, and dozens of them overflow a compiled method.
     """
 
     def text(x: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else _NAMES.get(v) or (repr(v) if v == v else "nan") for v in x.to_pylist()], pa.string())
-
-    return F.arrow_udf(text, "string")(c)
+        from .arrowtext import float_text
 
+        return float_text(x)
 
-_NAMES = {float("inf"): "+inf", float("-inf"): "-inf"}
+    return F.arrow_udf(text, "string")(c)
 
 
 def _let(value: Column, use) -> Column:

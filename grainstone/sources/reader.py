@@ -13,8 +13,11 @@ import gzip
 import math
 import pickle
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,8 +35,6 @@ from .shape import Shape, fast_column
 from .values import IonError, Struct
 
 BATCH = 8192
-#: Files whose first bytes the driver looks at.
-PEEK = 8
 _LIST = "read_ion expects a top-level list when format='array'"
 _RECORDS = "read_ion expects records to be structs"
 
@@ -71,7 +72,7 @@ def list_files(spark: SparkSession, path) -> list[str]:
         for m in matches or ():
             if m.isDirectory():
                 own += [s.getPath().toString() for s in fs.listStatus(m.getPath()) if s.isFile() and s.getPath().getName()[0] not in "._"]
-            else:
+            elif m.getPath().getName()[0] not in "._" or len(matches) == 1:
                 own.append(m.getPath().toString())
         if not own:
             raise OptionError(f'No files found that match the pattern "{p}"')
@@ -89,12 +90,6 @@ def _is_binary(spark: SparkSession, path: str) -> bool:
         stream.close()
 
 
-def _by_lines(spark: SparkSession, options: ReadOptions, files: list[str]) -> bool:
-    """Lines are read only if that is asked for and the first files aren't binary; a binary
-    file among text ones then fails, it isn't misread."""
-    return options.format == "newline_delimited" and not any(_is_binary(spark, f) for f in files[:PEEK])
-
-
 def line_values(lines: list[str]) -> Iterator[object]:
     """Values of lines. A value that goes on in the next line can't be told from a fault, so
     lines that don't parse alone are put together with those that follow."""
@@ -138,7 +133,7 @@ def _sample(spark: SparkSession, path: str, options: ReadOptions, state: Inferen
                 break
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(own)], pa.binary())], ["state"])
 
-    if _by_lines(spark, options, [path]):
+    if options.format == "newline_delimited" and not _is_binary(spark, path):
         rows = spark.read.text(path)
         rows = rows.where("trim(value) <> ''").limit(int(left)) if left != math.inf else rows
         rows = rows.coalesce(1)
@@ -237,7 +232,6 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
     shown = plain(schema) if names else T.StructType([T.StructField("__none", T.BooleanType())])
     form = options.format
     rows_read = spark.sparkContext.accumulator(0) if options.profile else None
-    by_lines = _by_lines(spark, options, files)
 
     def told(batches):
         for b in batches:
@@ -245,13 +239,33 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
                 rows_read.add(b.num_rows)
             yield b
 
+    def decoded(data: bytes) -> Iterator[pa.RecordBatch]:
+        if records:
+            yield from ColumnReader(data, schema, kinds, form == "array").batches()
+        else:
+            for columns, n in _arrays(file_values(data, form), schema, records):
+                yield _batch(columns, n, kinds, names)
+
     def lines(batches):
         shape = None
+        binary: _Binary | None = None
         for batch in batches:
-            own = [x for x in batch.column(0).to_pylist() if x and not x.isspace()]
-            if own and shape is None and records:
-                shape = Shape(own[0], schema)
-            yield from told(_lines_scan(own, schema, records, kinds, shape))
+            for value, file, size, marked in _by_file(batch, binary is not None):
+                if binary is not None and file == binary.file:
+                    binary.parts += value.to_pylist()
+                    continue
+                if binary is not None:
+                    yield from told(decoded(binary.data()))
+                    binary = None
+                if marked:
+                    binary = _Binary(file, size, value.to_pylist())
+                    continue
+                own = [x for x in value.cast(pa.string()).to_pylist() if x and not x.isspace()]
+                if own and shape is None and records:
+                    shape = Shape(own[0], schema)
+                yield from told(_lines_scan(own, schema, records, kinds, shape))
+        if binary is not None:
+            yield from told(decoded(binary.data()))
 
     def whole(batches):
         for batch in batches:
@@ -264,14 +278,16 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
                         continue
                 if data[:2] == b"\x1f\x8b":
                     data = gzip.decompress(data)
-                if records and data[:4] == MARK:
-                    yield from told(ColumnReader(data, schema, kinds, form == "array").batches())
+                if data[:4] == MARK:
+                    yield from told(decoded(data))
                     continue
                 for columns, n in _arrays(file_values(data, form), schema, records):
                     yield from told([_batch(columns, n, kinds, names)])
 
-    if by_lines:
-        df = spark.read.text(files).mapInArrow(lines, shown)
+    if form == "newline_delimited":
+        rows = spark.read.option("lineSep", "\n").text(files)
+        size = F.when(F.col("_metadata.file_path").endswith(".gz"), -1).otherwise(F.col("_metadata.file_size"))
+        df = rows.select(F.col("value").cast("binary").alias("value"), F.xxhash64("_metadata.file_path").alias("file"), size.alias("size")).mapInArrow(lines, shown)
     else:
         df = spark.read.format("binaryFile").load(files).select("content").mapInArrow(whole, shown)
     if rows_read is not None:
@@ -279,6 +295,40 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
     return df
 
 
+@dataclass
+class _Binary:
+    """A binary file that comes as lines, as it lies among text files."""
+
+    file: int
+    size: int
+    parts: list[bytes]
+
+    def data(self) -> bytes:
+        data = b"\n".join(self.parts)
+        if len(data) == self.size - 1:
+            data += b"\n"  # a last line end is no line
+        if self.size >= 0 and len(data) != self.size:
+            raise IonError("a binary file as large as this one can't be read with format='newline_delimited'")
+        return data
+
+
+def _by_file(batch: pa.RecordBatch, within: bool) -> Iterator[tuple[pa.Array, int, int, bool]]:
+    """The batch's lines with the number and size of their file, and whether they begin like
+    binary Ion; in runs of one file if any do, or if the lines before were of a binary file.
+
+    No text begins so: the mark isn't UTF-8.
+    """
+    value = batch.column(0)
+    if not within and not pc.any(pc.starts_with(value, MARK)).as_py():
+        yield value, 0, 0, False
+        return
+    files, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+    bounds = [0, *(np.flatnonzero(np.diff(files)) + 1).tolist(), len(value)]
+    for low, high in zip(bounds, bounds[1:]):
+        if low < high:
+            yield value.slice(low, high - low), int(files[low]), int(sizes[low]), value[low].as_py()[:4] == MARK
+
+
 def _same_shape(text: str, schema: T.StructType, kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch] | None:
     """Batches of a file whose lines all have one shape; None for any other file."""
     lines = text.split("\n")

@@ -61,7 +61,7 @@ class Shape:
             if wanted:
                 self.names.append(name)
                 self.kinds = [*getattr(self, "kinds", []), type(value)]
-        self.pattern = re.compile(r"[ \t]*\{" + ", ?".join(parts) + r"\}[ \t]*", re.ASCII)
+        self.pattern = re.compile(r"[ \t]*\{" + ", ?".join(parts) + r"\}[ \t\r]*", re.ASCII)
 
     def take(self, lines: list[str]) -> tuple[list[tuple], list[int]]:
         """Captured fields of the lines that match, and the places of those that don't."""

@@ -1,6 +1,6 @@
 """write_ion: a DataFrame as Ion text or binary files.
 
-Text is an expression and Spark's own text sink, so partitions, compression, append and
+Text is an expression and a sink of Spark's own, so partitions, compression, append and
 commit are Spark's. A list over the whole file and binary Ion need a file of their own form:
 each task writes one under a temporary name, and the driver makes the names final once all
 tasks have ended; a task that runs again writes another temporary file.
@@ -19,14 +19,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..cluster import ship_code
+from ..functions.arrowtext import row_texts
 from ..functions.sql import literal
-from ..functions.to_ion import python_float, symbol, to_ion
+from ..functions.to_ion import python_float, to_ion
 from .ionbinary import MARK, Symbols, encode_decimal, encode_timestamp, tagged, varuint
 from .ionencode import rows
 from .options import OptionError
+from .reader import list_files
 from .values import DAY, SECOND, Timestamp
 
-_OPTIONS = {"array", "binary", "dateformat", "date_format", "timestampformat", "timestamp_format", "compression", "mode", "partition_by", "max_records_per_file", "floats"}
+_OPTIONS = {
+    "array", "binary", "dateformat", "date_format", "timestampformat", "timestamp_format", "compression", "mode", "partition_by", "max_records_per_file", "floats",
+    "overwrite", "append", "overwrite_or_ignore", "file_extension", "file_size_bytes", "return_files", "write_partition_columns",
+}
+#: Options that say what is so in any case: each task writes its own files, under temporary
+#: names, in the order of its rows, in UTF-8.
+_SETTLED = {"per_thread_output": True, "use_tmp_file": True, "preserve_order": True, "encoding": "utf-8", "write_empty_file": True}
+_BINARY_EXTENSION, _TEXT_EXTENSION = "10n", "ion"
 #: Strftime codes and the patterns of Spark's date_format.
 _CODES = {"Y": "yyyy", "y": "yy", "m": "MM", "d": "dd", "H": "HH", "I": "hh", "M": "mm", "S": "ss", "f": "SSSSSS", "g": "SSS", "p": "a", "j": "DDD", "b": "MMM", "B": "MMMM", "a": "EEE", "A": "EEEE", "-d": "d", "-m": "M", "-H": "H", "-I": "h", "-M": "m", "-S": "s", "%": "'%'"}
 
@@ -55,13 +64,20 @@ def write_options(given: dict) -> dict:
     found = {}
     for key, value in given.items():
         name = key.lower()
-        if name not in _OPTIONS:
+        if name not in _OPTIONS and name not in _SETTLED:
             raise OptionError(f'Unknown option for COPY ... TO ... (FORMAT ION): "{name}".')
         if isinstance(value, (list, tuple)) and name != "partition_by":
             if len(value) != 1:
                 raise OptionError(f"{name} parameter expects a single argument.")
             value = value[0]
+        if name in _SETTLED:
+            if (value.lower() if isinstance(value, str) else value) != _SETTLED[name]:
+                raise OptionError(f"{name} can only be {_SETTLED[name]}")
+            continue
         found[name.replace("_format", "format")] = value
+    for name, mode in (("append", "append"), ("overwrite", "overwrite"), ("overwrite_or_ignore", "overwrite")):
+        if found.pop(name, False):
+            found.setdefault("mode", mode)
     if found.get("binary") and ("dateformat" in found or "timestampformat" in found):
         raise OptionError("date and timestamp formats can't be used with binary Ion")
     return found
@@ -86,37 +102,54 @@ def text_rows(df: DataFrame, floats: str = "plain") -> DataFrame:
     if len(df.columns) <= WIDE or floats != "plain":
         return df.select(to_ion(df, floats=floats, shown=python_float).alias("value"))
     ship_code(df.sparkSession)
-    heads = [symbol(n) + ": " for n in df.columns]
 
     def run(batches):
         for batch in batches:
-            columns = [[h + literal(v, c.type) for v in c.to_pylist()] for h, c in zip(heads, batch.columns)]
-            yield pa.RecordBatch.from_arrays([pa.array(["{" + ", ".join(r) + "}" for r in zip(*columns)], pa.string())], ["value"])
+            yield pa.RecordBatch.from_arrays([row_texts(batch, literal)], ["value"])
 
     return df.mapInArrow(run, "value string")
 
 
-def write_ion(df: DataFrame, path: str, **given) -> None:
-    """Write df's rows as structs.
+def write_ion(df: DataFrame, path: str, **given) -> list[str] | None:
+    """Write df's rows as structs; with return_files, tell the files that the folder then has.
 
     array: each file is one list. binary: binary Ion. dateformat, timestampformat: strftime
     formats for top-level columns (text only). compression ('gzip'), mode ('error',
     'append', 'overwrite', 'ignore'), partition_by (text without array),
-    max_records_per_file: as in Spark. floats: see `to_ion`. An empty DataFrame gives a
-    folder with an empty file or list.
+    max_records_per_file: as in Spark. write_partition_columns: partition columns also stay
+    in the rows. file_extension: three letters for text, `ion` if not given; `10n` for binary.
+    file_size_bytes: lists and binary files end with the batch in which they pass this size.
+    append, overwrite, overwrite_or_ignore: other ways to say mode. floats: see `to_ion`. An
+    empty DataFrame gives a folder with an empty file or list.
     """
     options = write_options(given)
+    _write(df, path, options)
+    if options.get("return_files"):
+        return list_files(df.sparkSession, f"{path.rstrip('/')}{'/*' * len(options.get('partition_by') or ())}")
+    return None
+
+
+def _write(df: DataFrame, path: str, options: dict) -> None:
     if not options.get("binary") and not options.get("array"):
         parts = list(options.get("partition_by") or [])
+        extension = options.get("file_extension", _TEXT_EXTENSION)
+        if len(extension) != 3 or not extension.isalpha():
+            raise OptionError("file_extension of text needs to be three letters")
         rows, floats = _formatted(df, options), options.get("floats", "plain")
-        lines = rows.select(to_ion(rows.drop(*parts), floats=floats, shown=python_float).alias("value"), *parts) if parts else text_rows(rows, floats)
-        writer = lines.write.mode(options.get("mode", "error"))
+        if parts:
+            kept = rows if options.get("write_partition_columns") else rows.drop(*parts)
+            lines = rows.select(to_ion(kept, floats=floats, shown=python_float).alias("value"), *parts)
+        else:
+            lines = text_rows(rows, floats)
+        # The sink for separated values lets the ending be chosen. Lines have no tab of their
+        # own, so there is nothing that it would quote.
+        writer = lines.write.mode(options.get("mode", "error")).options(sep="\t", quote="", escapeQuotes=False, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, extension=extension)
         if parts:
             writer = writer.partitionBy(*parts)
         for name, spark_name in (("compression", "compression"), ("max_records_per_file", "maxRecordsPerFile")):
             if name in options:
                 writer = writer.option(spark_name, options[name])
-        writer.text(path)
+        writer.csv(path)
         return
     _write_files(_formatted(df, options), path, options)
 
@@ -139,10 +172,10 @@ def _write_files(df: DataFrame, path: str, options: dict) -> None:
     job = uuid.uuid4().hex
     root = fs.makeQualified(where).toString()
     temporary = f"{root}/_temporary-{job}"
-    ending = ("ion" if not binary else "10n") + (".gz" if zipped else "")
+    ending = options.get("file_extension", _BINARY_EXTENSION if binary else _TEXT_EXTENSION) + (".gz" if zipped else "")
     schema = df.schema
     told = df if binary else text_rows(df, options.get("floats", "plain"))
-    most = int(options.get("max_records_per_file") or 0)
+    most, largest = int(options.get("max_records_per_file") or 0), int(options.get("file_size_bytes") or 0)
 
     def write(batches):
         part, attempt, n = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0
@@ -164,7 +197,7 @@ def _write_files(df: DataFrame, path: str, options: dict) -> None:
                 sink.add(own)
                 at += own.num_rows
                 left -= own.num_rows
-                if not left:
+                if not left or (largest and sink.size >= largest):
                     sink.close()
                     yield pa.RecordBatch.from_arrays([pa.array([f"{attempt}/{name}"])], ["name"])
                     sink = None
@@ -208,6 +241,7 @@ class _Sink:
         self.symbols = Symbols()
         self.schema = schema
         self.body = self.out
+        self.size = 0
         if binary:
             _known_names(schema, self.symbols)
             self.out.write(MARK + self.symbols.table(False))
@@ -220,9 +254,12 @@ class _Sink:
         if not self.binary:
             lines = ",\n".join(batch.column(0).to_pylist()).encode()
             self.out.write(lines if self.first else b",\n" + lines)
+            self.size += len(lines)
             self.first = False
             return
-        self.body.write(rows(batch, self.symbols, single))
+        data = rows(batch, self.symbols, single)
+        self.body.write(data)
+        self.size += len(data)
 
     def close(self) -> None:
         if self.binary and self.array:
