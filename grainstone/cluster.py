@@ -9,15 +9,21 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+#: Rows go to Python workers in batches of 10,000, whatever their size, if nothing else is
+#: said; of long texts that is more than a worker should hold.
+_BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def ship_code(spark: SparkSession) -> None:
-    """Send this package to the executors, once for each application.
+    """Send this package to the executors, once for each application, and bound the bytes of
+    the batches that workers get, where the session doesn't.
 
     Python workers import the operators by name, so the package has to be there even
     where it isn't installed on the machines.
     """
     sc = spark.sparkContext
+    if spark.conf.get(_BATCH_BYTES[0], None) is None:
+        spark.conf.set(*_BATCH_BYTES)
     if sc.applicationId in _SHIPPED:
         return
     root = os.path.dirname(os.path.abspath(__file__))
