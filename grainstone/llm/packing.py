@@ -7,12 +7,15 @@ plus these penalties: best(j) = penalty(j) + min over i within a window before j
 best(i) + (window - (p_j - p_i)). The term in j doesn't depend on i, so the minimum of
 best(i) + p_i over a sliding range is kept in a monotone queue, and each place costs O(1).
 
-A partition is packed by itself, in the order it is read, without a shuffle: only its last
-window isn't full. Tokens are taken in runs; the windows of a run but its last are final.
+A partition is packed by itself, in the order it is read, without a shuffle. Tokens are taken
+in runs, and what comes after a run's last cut waits for the next. What is left at a partition's end, less
+than a window or one, goes with its ids to a second pass, where the ends of GROUP partitions
+in a row are packed as one stream; so padding doesn't follow the number of partitions.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import deque
 from zlib import crc32
 
@@ -23,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import ship_code
+from ..cluster import cut_lineage, ship_code
 from .tokens import held
 from .words import runs
 
@@ -35,15 +38,18 @@ AT_SENTENCE, INSIDE = 2.0, 24.0
 STEPS = 64
 #: Tokens that are cut into windows at once.
 RUN_TOKENS = 1 << 19
+#: Partitions whose ends are packed together: GROUP * window tokens at most.
+GROUP = 256
 
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, at_boundary boolean"
 
 
-def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int) -> list[int]:
+def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int, going_on: bool = False) -> list[int]:
     """Indexes into places where windows end, the last place among them.
 
     places are increasing token counts after 0, at most `window` apart; a window goes from
-    a cut, or 0, to a later one and holds `window` tokens at most.
+    a cut, or 0, to a later one and holds `window` tokens at most. going_on: what comes after
+    the last cut, a window at most, isn't cut and costs nothing yet.
     """
     p = [0, *places.tolist()]
     cost = [0.0, *penalties.tolist()]
@@ -64,6 +70,8 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int) -> list[in
         queue.append(j)
     cuts = []
     j = len(p) - 1
+    if going_on:
+        j = min(range(bisect_left(p, p[-1] - window), len(p)), key=lambda i: (value[i], -i))
     while j:
         cuts.append(j - 1)
         j = back[j]
@@ -97,9 +105,10 @@ class Packer:
         self.costs: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, row: int, ids: bytes, places: np.ndarray, cost: np.ndarray) -> None:
+    def add(self, row: int, ids: bytes, places: np.ndarray, cost: np.ndarray, before: int = 0) -> None:
+        """A document, or what comes after its first `before` tokens."""
         n = len(ids) // 4
-        self.docs.append((row, ids, 0, n))
+        self.docs.append((row, ids, before, before + n))
         self.places.append(places + self.size)
         self.costs.append(cost)
         self.size += n
@@ -110,10 +119,8 @@ class Packer:
         if not self.size:
             return []
         places, costs = np.concatenate(self.places), np.concatenate(self.costs)
-        ends = [int(places[c]) for c in best_cuts(places, costs, self.window)]
+        ends = [int(places[c]) for c in best_cuts(places, costs, self.window, not last)]
         cheap = dict(zip(places.tolist(), (costs <= AT_SENTENCE).tolist()))
-        if not last:
-            ends = ends[:-1]
         done = ends[-1] if ends else 0
         pieces = []
         at = d = 0
@@ -142,31 +149,33 @@ class Packer:
         return pieces
 
 
-def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer: str | None = None) -> DataFrame:
+def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer: str | None = None, group: int = GROUP) -> DataFrame:
     """The pieces of all documents: key and PIECE, in the order of the table's partitions.
 
     A text's tokens are its ids and then END. Null, empty and white-space texts have only
-    END. Repeated rows are packed as often as they occur; other columns don't matter; no
-    rows give no pieces. A sequence's id names its partition (from bit 33 on) and its place
-    in it, so a task that runs again gives the same ids.
+    END. Very long texts go through many windows, also over a partition's end. Repeated rows
+    are packed as often as they occur, null keys stay null; other columns don't matter; no
+    rows give no pieces. A sequence's id names its partition (from bit 33 on), or from bit 62
+    on the group of partitions whose ends it packs, and its place there, so a task that runs
+    again gives the same ids.
     """
     ship_code(docs.sparkSession)
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     kind = dict(docs.dtypes)[key]
     end = np.array([END], "<u4").tobytes()
+    names = ["k", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "at_boundary", "ids"]
+
+    def told(pieces, keys, key_type):
+        for low in range(0, len(pieces), 20000):
+            columns = list(zip(*pieces[low : low + 20000]))
+            got = pa.array([keys[r] for r in columns[0]], key_type)
+            yield pa.RecordBatch.from_arrays([got, *(pa.array(c, pa.int64()) for c in columns[1:7]), pa.array(columns[7], pa.bool_()), pa.nulls(len(got), pa.binary())], names)
 
     def run(batches):
         ids_of = held(path)
-        packer = Packer(window, TaskContext.get().partitionId() << 33)
+        first = TaskContext.get().partitionId() << 33
+        packer = Packer(window, first)
         keys: list = []
-        names = ["k", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "at_boundary"]
-
-        def told(pieces):
-            for low in range(0, len(pieces), 20000):
-                columns = list(zip(*pieces[low : low + 20000]))
-                got = pa.array([keys[r] for r in columns[0]], key_type)
-                yield pa.RecordBatch.from_arrays([got, *(pa.array(c, pa.int64()) for c in columns[1:7]), pa.array(columns[7], pa.bool_())], names)
-
         key_type = None
         for batch in batches:
             key_type = batch.schema.field(0).type
@@ -179,9 +188,35 @@ def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer:
                     keys.append(k)
                     packer.add(len(keys) - 1, ids, *document_places(ends, len(ids) // 4, window))
                     if packer.size >= RUN_TOKENS:
-                        yield from told(packer.flush(False))
+                        yield from told(packer.flush(False), keys, key_type)
                         keys = [keys[r] for r, *_ in packer.docs]
                         packer.docs = [(i, *d[1:]) for i, d in enumerate(packer.docs)]
-        yield from told(packer.flush(True))
-
-    return docs.select(F.col(key).alias("k"), "text").mapInArrow(run, f"k {kind}, {PIECE}").withColumnRenamed("k", key)
+        yield from told(packer.flush(False), keys, key_type)
+        if packer.docs:
+            rows, ids, before, whole = zip(*packer.docs)
+            n = len(rows)
+            columns = [pa.array([keys[r] for r in rows], key_type), pa.array(before, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([0] * n, pa.int64()), pa.array(whole, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([first] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.nulls(n, pa.bool_()), pa.array(ids, pa.binary())], names)
+
+    def again(batches):
+        stops = held(path).stops
+        packer, now, keys, key_type = None, None, [], None
+        for batch in batches:
+            key_type = batch.schema.field("k").type
+            for r in batch.to_pylist():
+                if r["group"] != now:
+                    if packer is not None:
+                        yield from told(packer.flush(True), keys, key_type)
+                    now, keys = r["group"], []
+                    packer = Packer(window, 1 << 62 | now << 33)
+                keys.append(r["k"])
+                ends = np.flatnonzero(stops[np.frombuffer(r["ids"], "<u4")]) + 1
+                packer.add(len(keys) - 1, r["ids"], *document_places(ends, r["length"], window), r["start"])
+        if packer is not None:
+            yield from told(packer.flush(True), keys, key_type)
+
+    shape = f"k {kind}, {PIECE}, ids binary"
+    packed = cut_lineage(docs.select(F.col(key).alias("k"), "text").mapInArrow(run, shape))
+    rest = packed.where("ids is not null").withColumn("group", F.shiftright("sequence_id", 33).cast("long") / F.lit(group)).withColumn("group", F.floor("group"))
+    rest = rest.repartition("group").sortWithinPartitions("group", "sequence_id", "offset").mapInArrow(again, shape)
+    return packed.where("ids is null").unionByName(rest).drop("ids").withColumnRenamed("k", key)

@@ -49,6 +49,11 @@ def test_cuts_equal_brute_force():
         ends = [0, *(int(p[i]) for i in cuts)]
         assert all(0 < b - a <= 10 for a, b in zip(ends, ends[1:])) and ends[-1] == p[-1]
         assert abs(sum(10 - (b - a) for a, b in zip(ends, ends[1:])) + sum(c[i] for i in cuts) - best[-1]) < 1e-9
+        cuts = packing.best_cuts(p, c, 10, True)
+        ends = [0, *(int(p[i]) for i in cuts)]
+        assert all(0 < b - a <= 10 for a, b in zip(ends, ends[1:])) and p[-1] - ends[-1] <= 10
+        cost = sum(10 - (b - a) for a, b in zip(ends, ends[1:])) + sum(c[i] for i in cuts)
+        assert abs(cost - min(best[j] for j in range(len(q)) if p[-1] - q[j] <= 10)) < 1e-9
 
 
 def check(rows, texts, window):
@@ -83,6 +88,9 @@ def test_pieces_cover_everything(spark, monkeypatch):
     df = docs(spark, texts).selectExpr("*", "1 as k", "2 as start", "3 as length").coalesce(1)
     assert check(packing.pack(df, window=256).collect(), texts, 256) > 0.97
     assert check(packing.pack(df).collect(), texts, 4096) > 0.8
+    for parts in (60, 400):  # fewer rows than partitions, too
+        assert check(packing.pack(df.repartition(parts), window=256).collect(), texts, 256) > 0.97
+    assert check(packing.pack(df.repartition(60), window=256, group=8).collect(), texts, 256) > 0.9
     assert packing.pack(spark.createDataFrame([], DOCS)).count() == 0
 
 
