@@ -24,8 +24,9 @@ from ..cluster import ship_code
 from .words import alnum_words, filter_rows, runs
 
 WINDOW = 10
-#: The benchmark's text that is broadcast at once; a larger benchmark is taken in parts.
-PART_BYTES = 16 << 20
+#: Text and ids of a benchmark that are made an index of and broadcast at once: about ten
+#: times as many bytes. A larger benchmark is taken in parts.
+PART_BYTES = 2 << 20
 _CANDIDATES = 1 << 18
 #: Separates documents in a run; no word can be this byte, as it is a separator itself.
 _END = b"\x00"
@@ -34,46 +35,67 @@ RESULT = "n_words long, n_hit long, n_items long, items_sha256 string, contamina
 
 
 class Index:
-    """Windows of benchmark items, findable by their rarest shingle."""
+    """Windows of benchmark items, findable by their rarest shingle.
+
+    Windows are rows of word numbers, each kept once, and the numbers of their items lie in
+    a row behind each other; so a word of benchmark takes some 100 bytes, its own included.
+    """
 
     def __init__(self, items: list[tuple[str, bytes]], window: int):
         self.vocab: dict[bytes, int] = {_END: -1}
-        windows: dict[tuple[int, ...], int] = {}
-        owners: list[set[str]] = []
+        self.items = sorted({item for item, _ in items})
+        place = {item: i for i, item in enumerate(self.items)}
+        rows, owners = [np.zeros((0, window), np.int32)], [np.zeros(0, np.int64)]
         for item, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab)) for w in alnum_words(text)]
-            size = min(window, len(ids))
-            for s in range(len(ids) - size + 1 if ids else 0):
-                at = windows.setdefault(tuple(ids[s : s + size]), len(windows))
-                if at == len(owners):
-                    owners.append(set())
-                owners[at].add(item)
-        self.owners = [sorted(x) for x in owners]
-        self.length = np.array([len(w) for w in windows], np.int64)
-        self.words = np.zeros((len(windows), window), np.int64)
-        for w, i in windows.items():
-            self.words[i, : len(w)] = w
+            number = self.vocab.setdefault
+            ids = np.array([number(w, len(self.vocab)) for w in alnum_words(text)], np.int32)
+            if len(ids) >= window:
+                rows.append(np.lib.stride_tricks.sliding_window_view(ids, window))
+            elif len(ids):
+                rows.append(np.pad(ids, (0, window - len(ids)))[None, :])
+            owners.append(np.full(max(len(ids) - window + 1, 1) if len(ids) else 0, place[item]))
+        table = np.concatenate(rows)
+        owner = np.concatenate(owners)
+        whole = np.ascontiguousarray(table).view([("", np.int32)] * window).ravel()
+        _, first, which = np.unique(whole, return_index=True, return_inverse=True)
+        self.words = table[first]
+        self.length = (self.words > 0).sum(1).astype(np.int64)
+        pairs = np.unique(which * len(self.items) + owner) if len(owner) else owner
+        self.owner = (pairs % max(len(self.items), 1)).astype(np.int32)
+        self.owned = np.searchsorted(pairs, np.arange(len(first) + 1) * len(self.items))
         self.base = len(self.vocab) + 1
-        shingles = {c for w in windows for c in self._codes_of(w)}
-        self.codes = np.array(sorted(shingles), np.int64)
+        self.codes = np.unique(self._codes()[1])
         self.prefix = np.zeros(0, np.int64)
 
-    def _codes_of(self, w: tuple[int, ...]) -> list[int]:
-        return [a * self.base + b for a, b in zip(w, w[1:])] if len(w) > 1 else [w[0] * self.base]
-
-    def order_by_rarity(self, counts: dict[int, int]) -> None:
-        """Choose each window's prefix: its shingle with the lowest count, then lowest code."""
-        rows = []
-        for i in range(len(self.length)):
-            w = tuple(self.words[i, : self.length[i]].tolist())
-            codes = self._codes_of(w)
-            at = min(range(len(codes)), key=lambda p: (counts.get(codes[p], 0), codes[p], p))
-            rows.append((codes[at], i, at))
-        rows.sort()
-        table = np.array(rows, np.int64).reshape(-1, 3)
-        self.prefix, first = np.unique(table[:, 0], return_index=True)
-        self.first = np.append(first, len(table))
-        self.entry, self.place = table[:, 1], table[:, 2]
+    def _codes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Which places of the windows' rows have a shingle, and their codes, row by row."""
+        w = self.words.astype(np.int64)
+        two = np.concatenate([w[:, 1:], np.zeros((len(w), 1), np.int64)], axis=1)
+        has = two > 0
+        has[:, 0] |= self.length == 1
+        return has, (w * self.base + two)[has]
+
+    def order_by_rarity(self, codes: np.ndarray, counts: np.ndarray) -> None:
+        """Choose each window's prefix: its shingle with the lowest count, then lowest code,
+        then first place."""
+        many = np.zeros(len(self.codes), np.int64)
+        many[np.searchsorted(self.codes, codes)] = counts
+        rank = np.empty(len(self.codes), np.int64)
+        rank[np.lexsort((self.codes, many))] = np.arange(len(self.codes))
+        has, own = self._codes()
+        ranks = np.full(has.shape, len(self.codes), np.int64)
+        ranks[has] = rank[np.searchsorted(self.codes, own)]
+        at = ranks.argmin(1) if len(ranks) else np.zeros(0, np.int64)
+        chosen = np.zeros(has.shape, np.int64)
+        chosen[has] = own
+        code = chosen[np.arange(len(at)), at]
+        order = np.argsort(code, kind="stable")
+        self.prefix, first = np.unique(code[order], return_index=True)
+        self.first = np.append(first, len(order))
+        self.entry, self.place = order, at[order]
+
+    def items_of(self, window: int) -> list[str]:
+        return [self.items[i] for i in self.owner[self.owned[window] : self.owned[window + 1]]]
 
     def word_ids(self, texts: list[bytes]) -> np.ndarray:
         """Word ids of the texts in a row, each text followed by -1."""
@@ -141,7 +163,8 @@ def _index(docs: DataFrame, items: list[tuple[str, bytes]], window: int):
             yield pa.RecordBatch.from_arrays([pa.array(ix.codes[part]), pa.array(total[part])], ["code", "n"])
 
     counts = docs.select("text").mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-    index.order_by_rarity({r.code: r.n for r in counts.collect()})
+    found = counts.toArrow()
+    index.order_by_rarity(found["code"].to_numpy(), found["n"].to_numpy())
     return spark.sparkContext.broadcast(index)
 
 
@@ -156,7 +179,7 @@ def _found(index: Index, texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarra
         np.add.at(delta, start + index.length[window], -1)
         pairs = np.unique(np.stack([np.searchsorted(ends, start), window], 1), axis=0)
         for d, w in pairs.tolist():
-            items[d].update(index.owners[w])
+            items[d].update(index.items_of(w))
     return ids, ends, np.cumsum(delta[:-1]) > 0, items
 
 
@@ -191,12 +214,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
-    """The rows of docs, all columns, that have no window of any benchmark item."""
+    """The rows of docs, all columns, that have no window of any benchmark item; null, empty
+    and wordless texts have none. Each of repeated rows stays or goes alike. docs are read
+    once for each part of the benchmark, and once for the result.
+    """
     ship_code(docs.sparkSession)
-    for own in _parts(benchmark, part_bytes):
-        held = _index(docs, own(), window)
-        docs = filter_rows(docs, lambda texts, held=held: [not x for x in _found(held.value, texts)[3]])
-    return docs
+    indexes = [_index(docs, own(), window) for own in _parts(benchmark, part_bytes)]
+    return filter_rows(docs, lambda texts: ~np.any([[bool(x) for x in _found(held.value, texts)[3]] for held in indexes], axis=0))
 
 
 def _parts(benchmark: DataFrame, part_bytes: int):
@@ -232,6 +256,12 @@ def _whole(docs: DataFrame, held, kind: str) -> DataFrame:
     return docs.mapInArrow(find, f"k {kind}, {RESULT}")
 
 
+def _digest_of():
+    """SHA-256 of key and text, which no two rows that differ have in common."""
+    k = F.coalesce(F.col("k").cast("string"), F.lit(""))
+    return F.sha2(F.concat(F.length(k).cast("string"), F.when(F.col("k").isNull(), "-").otherwise(":"), k, F.coalesce("text", F.lit(""))).cast("binary"), 256)
+
+
 def _hits(docs: DataFrame, held) -> DataFrame:
     """Documents that have hits: digest of key and text, hit places as runs, items."""
 
@@ -244,16 +274,15 @@ def _hits(docs: DataFrame, held) -> DataFrame:
                 for d in (i for i, x in enumerate(items) if x):
                     own = np.flatnonzero(np.diff(np.concatenate([[0], hit[first[d] : ends[d]].astype(np.int8), [0]])))
                     spans = [{"a": int(a), "b": int(b)} for a, b in own.reshape(-1, 2)]
-                    yield pa.RecordBatch.from_pylist([{"digest": rows.column(2)[d].as_py(), "spans": spans, "items": sorted(items[d])}], pa.schema([("digest", pa.int64()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), ("items", pa.list_(pa.string()))]))
+                    yield pa.RecordBatch.from_pylist([{"digest": rows.column(2)[d].as_py(), "spans": spans, "items": sorted(items[d])}], pa.schema([("digest", pa.string()), ("spans", pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), ("items", pa.list_(pa.string()))]))
 
-    told = docs.withColumn("digest", F.xxhash64("k", "text"))
-    return told.mapInArrow(find, "digest long, spans array<struct<a:long,b:long>>, items array<string>")
+    return docs.withColumn("digest", _digest_of()).mapInArrow(find, "digest string, spans array<struct<a:long,b:long>>, items array<string>")
 
 
 def _merged(docs: DataFrame, hits: DataFrame) -> DataFrame:
     """The result from the hit ranges of all parts of the benchmark."""
     one = hits.groupBy("digest").agg(F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"), F.flatten(F.collect_set("spans")).alias("spans"))
-    told = docs.select("k", "text", F.xxhash64("k", "text").alias("digest")).join(one, "digest", "left")
+    told = docs.select("k", "text", _digest_of().alias("digest")).join(one, "digest", "left")
     low = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     places = F.array_distinct(F.flatten(F.transform("spans", lambda s: F.sequence(s["a"], s["b"] - F.lit(1)))))
     items = F.coalesce("items", F.array().cast("array<string>"))
