@@ -36,6 +36,8 @@ MOST = 16384
 #: Shards are narrowed by more blocks until about this many fingerprints share one.
 AIM = 2048
 _LEAF = 384
+#: Tasks that the fingerprints of one component are dealt to when they learn its smallest key.
+SALTS = 16
 
 
 def shingle_hashes(words: list[bytes], size: int) -> tuple[Iterator[int], int]:
@@ -82,7 +84,8 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", size: int = SHINGLE) -> D
 
 
 def _links(x: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places in x within radius, each pair at least once, in blocks.
+    """Pairs of places in x within radius, in blocks: each pair at least once, or a way
+    between its ends by other pairs.
 
     The tree is walked for the whole set at once: a node's points are split at the median
     distance to its vantage point, both sides are searched by themselves, and pairs across
@@ -94,6 +97,16 @@ def _links(x: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]
         if len(own) <= _LEAF:
             yield from _across(x, own, own, radius)
             continue
+        middle = np.uint64(majority(_votes(x[own]), len(own)))
+        v = own[np.bitwise_count(x[own] ^ middle).argmin()]
+        d = np.bitwise_count(x[own] ^ x[v]).astype(np.int64)
+        ball = d <= radius
+        if ball.sum() * 4 >= len(own):
+            # All of the ball link to v, so none of their own pairs matters.
+            yield np.full(int(ball.sum()), v), own[ball]
+            yield from _across(x, own[ball], own[~ball & (d <= 2 * radius)], radius)
+            stack.append(own[~ball])
+            continue
         d = np.bitwise_count(x[own] ^ x[own[0]]).astype(np.int64)
         cut = int(np.median(d))
         inner, outer = d <= cut, d > cut
@@ -223,16 +236,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS,
     """
     told = cut_lineage(fingerprints(docs, key, size))
     points = cut_lineage(told.groupBy("fp").agg(F.min(key).alias("least")))
-    labelled = _labelled(points, radius)
-    heads = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    known = labelled.join(heads, "component").select("fp", "component_id")
-    return told.join(known, "fp").select(key, "fp", "component_id")
-
-
-def _labelled(points: DataFrame, radius: int) -> DataFrame:
-    """points (fp, least) with the component of each fingerprint."""
     found = components(edges_within(points, radius))
-    return points.join(found, points.fp == found.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    labelled = cut_lineage(points.join(found, points.fp == found.node, "left").select("fp", "least", "component"))
+    alone = labelled.where("component is null").select("fp", F.col("least").alias("component_id"))
+    salts = F.lit(SALTS)
+    heads = labelled.where("component is not null").groupBy("component").agg(F.min("least").alias("component_id"))
+    heads = heads.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    groups = labelled.where("component is not null").withColumn("salt", F.pmod(F.xxhash64("fp"), salts).cast("int"))
+    known = alone.unionByName(groups.join(heads, ["component", "salt"]).select("fp", "component_id"))
+    return told.join(known, "fp").select(key, "fp", "component_id")
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -248,30 +260,6 @@ def _numbered(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__row", LongType())]))
 
 
-def representatives(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
-    """One row, with all columns, of each component: that with the smallest key, null keys
-    last, and of rows with that key the first read.
-
-    docs has to be a table that gives the same rows when it is read twice.
-    """
-    ship_code(docs.sparkSession)
-    kind = dict(docs.dtypes)[key]
-
-    def run(batches):
-        at = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for rows, texts in runs(batch):
-                own = np.arange(at, at + len(texts))
-                at += len(texts)
-                yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fingerprint_batch(texts, size).view(np.int64)), pa.array(own)], ["k", "fp", "row"])
-
-    told = docs.select(F.col(key).alias("k"), F.col("text")).mapInArrow(run, f"k {kind}, fp long, row long")
-    first = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("least")
-    points = cut_lineage(told.groupBy("fp").agg(first))
-    heads = _labelled(points, radius).groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
-    return _numbered(docs).join(heads, "__row", "left_semi").drop("__row")
-
-
 def hex_digits(fp):
     """A fingerprint column as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

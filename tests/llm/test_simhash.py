@@ -79,3 +79,31 @@ def test_chain_and_hub_components(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 1000 + i) for i in range(1, 300)] + [(5, 5), (None, 3), (2001, 2000), (2001, 2000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(61)) and all(got[1000 + i] == 1000 for i in range(300)) and got[2001] == 2000
+
+
+def test_dense_balls_are_linked_without_all_their_pairs():
+    rng = np.random.default_rng(5)
+    centres = rng.integers(0, 1 << 63, 6, dtype=np.uint64)
+    x = []
+    for c in centres:
+        for _ in range(700):
+            v = c
+            for b in rng.choice(64, rng.integers(0, 6), replace=False):
+                v = v ^ (np.uint64(1) << np.uint64(b))
+            x.append(v)
+    x = np.unique(np.array(x, np.uint64))
+    compared = sum(len(i) for i, _ in simhash._links(x, 4))
+    want = list(range(len(x)))
+
+    def root(i):
+        while want[i] != i:
+            i = want[i]
+        return i
+
+    for i in range(len(x)):
+        for j in np.flatnonzero(np.bitwise_count(x ^ x[i]) <= 4).tolist():
+            a, b = root(i), root(j)
+            want[max(a, b)] = min(a, b)
+    got = dict(simhash.forest(x, 4))
+    assert [got.get(i, i) for i in range(len(x))] == [root(i) for i in range(len(x))]
+    assert compared < len(x) ** 2 / 12
