@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..cluster import cut_lineage, ship_code
 from .components import components
-from .simhash import RADIUS, _numbered, _votes, edges_within, majority, shingle_hashes
+from .simhash import RADIUS, _votes, edges_within, majority, shingle_hashes
 from .words import runs, space_words
 
 SHINGLE = 5
@@ -43,6 +43,12 @@ _PARITY = 1024
 _BROADCAST_ROWS = 1 << 20
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """docs with the number of each row, by partition and place, as `_told` gives it: the
+    same whenever the same files are read again."""
+    return docs.withColumn("__row", F.monotonically_increasing_id())
+
+
 def shingle_set(text: bytes, size: int) -> np.ndarray:
     """The distinct shingles of a text, sorted, by their XXH64."""
     hashes, n = shingle_hashes(space_words(text), size)

@@ -19,10 +19,8 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from ..cluster import cut_lineage, ship_code
 from .components import components
@@ -247,19 +245,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS,
     return told.join(known, "fp").select(key, "fp", "component_id")
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """docs with a number for each row, by partition and place: the same whenever the same
-    files are read again."""
-
-    def run(batches):
-        at = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.arange(at, at + len(batch)))], [*batch.schema.names, "__row"])
-            at += len(batch)
-
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__row", LongType())]))
-
-
 def hex_digits(fp):
     """A fingerprint column as 16 lower-case hexadecimal digits."""
     return F.lower(F.lpad(F.hex(fp), 16, "0"))

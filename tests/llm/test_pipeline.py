@@ -1,7 +1,7 @@
 import random
 
 import corpus_pipeline
-from grainstone.llm import decontam, quality, simhash, toxicity
+from grainstone.llm import decontam, nearsets, quality, toxicity
 from grainstone.llm.labelled import remainder
 
 from . import test_decontam, test_packing, test_simhash
@@ -57,7 +57,23 @@ def test_stages_equal_brute_force(spark, tmp_path):
 
 def test_filters_keep_clashing_columns_and_nulls(spark):
     df = spark.createDataFrame([(1, "a b c d e", 5), (1, "a b c d e", 6), (None, "q r s t u v", 7), (2, None, 8)], "doc_id long, text string, fp int").repartition(1)
-    assert sorted(r.fp for r in simhash.representatives(df).collect()) in ([5, 7, 8], [6, 7, 8])
+    assert sorted(r.fp for r in nearsets.representatives(df).collect()) in ([5, 7, 8], [6, 7, 8])
     bench = spark.createDataFrame([(1, "s t u")], "item_id long, text string")
     assert sorted(r.fp for r in decontam.clean(df, bench).collect()) == [5, 6, 8]
-    assert simhash.representatives(df.where("false")).count() == 0
+    assert nearsets.representatives(df.where("false")).count() == 0
+
+
+def tables(spark, d, documents, labels, items):
+    spark.createDataFrame(documents, DOCS + ", extra string").write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{d}/benchmark.parquet")
+
+
+def test_empty_tables(spark, tmp_path):
+    rows = [(i, t, "en", "s", 0, "x") for i, t in enumerate(["a few words only", None, "", "a few words only", "x " * 30000])]
+    for n, (documents, labels, items) in enumerate([([], [], []), (rows, [], []), (rows, [(0, 1, 0), (7, None, None)], [(None, None), (1, "")])]):
+        d = f"{tmp_path}/{n}"
+        tables(spark, d, documents, labels, items)
+        out = corpus_pipeline.run(spark, d).collect()
+        # Without labels a document counts as good and clean; of equal texts one stays.
+        assert {r.doc_id for r in out} == ({0, 1, 4} if documents else set())
