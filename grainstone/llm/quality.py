@@ -23,10 +23,11 @@ from ..cluster import cut_lineage, ship_code
 from .labelled import remainder, sample
 from .words import filter_rows, runs, space_words
 
-#: Labelled rows of each class, at most. Their vectors, 2 * SAMPLE * DIMS numbers, and a
-#: projection of TERMS * DIMS numbers are all that is broadcast.
+#: Labelled rows of each class, at most, and the terms that most of them have, which the
+#: model knows (there are fewer than 111,000 kinds in all). Their vectors, 2 * SAMPLE * DIMS
+#: numbers, and a projection of TERMS * DIMS numbers are all that is broadcast.
 SAMPLE = 3000
-DIMS, TERMS, NEAREST, BLOCK = 48, 2048, 25, 512
+DIMS, TERMS, NEAREST, BLOCK = 48, 2048, 25, 256
 _CLASSES = 48
 _REPEAT = _CLASSES**3
 #: Places after the class runs: repeats of the word before, words and lines seen before.
@@ -101,17 +102,20 @@ class Model:
         return unit(x @ self.project)
 
     def score(self, texts: list[bytes]) -> np.ndarray:
-        """Share of label 1 among the nearest, weighted by cosine; `base` without neighbours."""
+        """Share of label 1 among the nearest, weighted by cosine; `base` without neighbours.
+        Of equally near ones at the last place, those first in the sample's order count."""
         if not len(self.labels):
             return np.full(len(texts), self.base)
         out = np.empty(len(texts))
         k = min(NEAREST, len(self.labels))
         for low in range(0, len(texts), BLOCK):
             cos = self.embed(texts[low : low + BLOCK]) @ self.vectors.T
-            near = np.argpartition(-cos, k - 1, axis=1)[:, :k]
-            weight = np.maximum(np.take_along_axis(cos, near, 1), 0).astype(float) ** 4
+            last = np.partition(cos, cos.shape[1] - k, axis=1)[:, [cos.shape[1] - k]]
+            ties = cos == last
+            first = np.cumsum(ties, axis=1) <= k - (cos > last).sum(1, keepdims=True)
+            weight = np.where((cos > last) | (ties & first), np.maximum(cos, 0), 0).astype(float) ** 4
             total = weight.sum(1)
-            voted = (weight * self.labels[near]).sum(1) / np.maximum(total, 1e-12)
+            voted = weight @ self.labels / np.maximum(total, 1e-12)
             out[low : low + BLOCK] = np.clip(np.where(total > 1e-9, voted, self.base), 0, 1)
         return out
 
@@ -155,8 +159,10 @@ def fit(docs: DataFrame, labels: DataFrame, usable, most: int = SAMPLE, key: str
 def score(docs: DataFrame, model: Model, key: str = "doc_id", held_out=None) -> DataFrame:
     """(key, held_out, score, predicted) for each row of docs, over whole texts.
 
-    Null and empty texts have no terms and get the labelled rows' share of label 1.
-    Repeated rows each get theirs; other columns don't matter; no rows give no rows.
+    Null and empty texts have no terms and get the labelled rows' share of label 1. Very
+    long texts count to their end. Equal texts get equal scores; repeated rows each get
+    theirs; null keys stay null; other columns, also of the names of the result, don't
+    matter; no rows give no rows.
     """
     ship_code(docs.sparkSession)
     kind = dict(docs.dtypes)[key]
@@ -173,7 +179,8 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", held_out=None) ->
 
 
 def keep(docs: DataFrame, model: Model, value: int = 1) -> DataFrame:
-    """The rows of docs, all columns, whose predicted label is `value`."""
+    """The rows of docs, all columns, whose predicted label is `value`; null and empty texts
+    have the labelled rows' share as score, and each of repeated rows stays or goes alike."""
     ship_code(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
     return filter_rows(docs, lambda texts: (held.value.score(texts) >= 0.5) == bool(value))
