@@ -5,7 +5,6 @@ Each query writes a table as Ion and reads it back, so its rows pass the codec b
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,6 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .cluster import shared_folder
 from .functions.sql import list_extract, register
 from .functions.to_ion import to_ion
 from .sources.reader import IonFrame, count_ion, ion_view, list_files, read_ion
@@ -40,9 +40,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that all machines share, or a local one in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ion-")
-    return f"{base.rstrip('/')}/ion-{uuid.uuid4().hex}"
+    """A new path in the folder that all machines share."""
+    return f"{shared_folder(spark)}/ion-{uuid.uuid4().hex}"
 
 
 def stored(spark: SparkSession, df: DataFrame, **options) -> str:

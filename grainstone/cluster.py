@@ -9,6 +9,8 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _SHIPPED: set[str] = set()
+#: By application, the folder that is made on a single machine.
+_FOLDERS: dict[str, str] = {}
 #: Rows go to Python workers in batches of 10,000, whatever their size, if nothing else is
 #: said; of long texts that is more than a worker should hold.
 _BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
@@ -39,15 +41,31 @@ def ship_code(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write df to the checkpoint folder that all machines share and read it from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all machines share: the session's spark.checkpoint.dir.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset, as in
-    tests on one machine, a temporary folder is made.
+    Only on one machine, as in tests, a temporary folder is made where that is unset.
     """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        sc = spark.sparkContext
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all machines share")
+        if sc.applicationId not in _FOLDERS:
+            _FOLDERS[sc.applicationId] = tempfile.mkdtemp(prefix="shared-")
+        folder = _FOLDERS[sc.applicationId]
+    return folder.rstrip("/")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is; a missing one is no error."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write df to the checkpoint folder that all machines share and read it from there."""
+    sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
