@@ -261,7 +261,8 @@ def pages(data: bytes) -> Iterator[Page]:
             raise BadTiff("no size, or samples of different sizes")
         if bits not in (1, 2, 4, 8, 16, 32, 64) or predictor not in (1, 2, 3) or (predictor > 1 and bits < 8):
             raise BadTiff("bits or predictor not known")
-        if width * height * samples * bits // 8 > MOST_BYTES:
+        wide = bits if bits < 8 else bits // 8  # bytes a sample takes while bits are spread out
+        if width * height * samples * max(bits // 8, 1) > MOST_BYTES:
             raise BadTiff("page too large")
         tiled = 322 in tags
         if tiled:
@@ -272,7 +273,7 @@ def pages(data: bytes) -> Iterator[Page]:
             raise BadTiff("no strips or tiles")
         across, down = -(-width // block_w), -(-height // block_h)
         planes = samples if planar == 2 else 1
-        if len(offsets) < across * down * planes or block_w * block_h * samples * bits // 8 > MOST_BYTES:
+        if len(offsets) < across * down * planes or block_w * block_h * samples * wide > MOST_BYTES:
             raise BadTiff("strips or tiles are missing")
         own = samples // planes
         size = max(bits // 8, 1)
@@ -425,8 +426,9 @@ def feature(image: np.ndarray) -> str:
 def media_digest(docs: DataFrame, key: str = "doc_id") -> DataFrame:
     """Each text stored as TIFF, its pages read back, and what they hold.
 
-    Null is the empty text. Repeated rows each get theirs; equal texts have equal values;
-    other columns don't matter; no rows give no rows.
+    Null is the empty text. Very long texts are stored whole, on many pages. Repeated rows
+    each get theirs, null keys stay null; equal texts have equal values; other columns don't
+    matter; no rows give no rows.
     """
     ship_code(docs.sparkSession)
     kind = dict(docs.dtypes)[key]

@@ -98,3 +98,33 @@ def test_digest_of_documents(spark):
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(b), len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-16:]))
     assert out[-1][1:] == out[-2][1:] and out[0][1:] == out[1][1:] and out[5].pages > 1
     assert tiff.media_digest(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_feature_equals_brute_force():
+    rng = random.Random(12)
+    for n in (1, 5, 8, 9, 100, 300):
+        data = bytes(rng.choice([0, 255, 32, rng.randrange(256)]) for _ in range(n * tiff.ROW))
+        image = np.frombuffer(data, np.uint8).reshape(n, tiff.ROW // tiff.COLOURS, tiff.COLOURS)
+        mean = sum(data) / len(data)
+        deviation = (sum((v - mean) ** 2 for v in data) / len(data)) ** 0.5
+        grey = [[sum(data[tiff.ROW * y + 3 * x : tiff.ROW * y + 3 * x + 3]) for x in range(64)] for y in range(n)]
+        whole = sum(map(sum, grey)) / (64 * n)
+        bits = ""
+        for k in range(8):
+            a, b = min(n * k // 8, n - 1), n * (k + 1) // 8
+            band = grey[a : max(b, a + 1)]
+            bits += "".join("1" if sum(sum(r[x : x + 8]) for r in band) / (8 * len(band)) > whole else "0" for x in range(0, 64, 8))
+        got = dict(p.split("=") for p in tiff.feature(image).split())
+        assert got["rows"] == str(n) and got["hash"] == f"{int(bits, 2):016x}"
+        assert abs(float(got["mean"]) - mean) < 1e-4 and abs(float(got["deviation"]) - deviation) < 1e-4
+
+
+def test_one_bit_pages_are_bounded_by_what_they_take():
+    good = tiff.write([np.zeros((4, 64, 1), np.uint8)], tiff.NONE)
+    assert len(list(tiff.pages(good))) == 1
+    large = bytearray(good)
+    for tag, value in ((256, 1 << 15), (257, 1 << 16), (258, 1)):
+        at = large.index(struct.pack("<H", tag), 264)
+        struct.pack_into("<I", large, at + 8, value)
+    with pytest.raises(tiff.BadTiff):
+        list(tiff.pages(bytes(large)))
