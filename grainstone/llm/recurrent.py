@@ -10,9 +10,11 @@ not in the vocabulary has, after its token, the share (c + 1) / (N' + V' + 1) am
 others, so every text has a probability.
 
 Training. Each task trains a copy by Adagrad with backpropagation truncated to WINDOW
-tokens, the state going on from window to window of a segment, once over all tokens of all
-training documents. Copies are averaged, weighted by their segments, in two steps so that
-no task gathers them all.
+tokens, once over all tokens of all training documents. The state goes on from window to
+window of a document; one of more than WINDOW * SEGMENT_WINDOWS tokens begins anew after as
+many. Documents of like length, out of POOL, go side by side, and a window's steps only
+count tokens that are there. Copies are averaged, weighted by their tokens, in two steps so
+that no task gathers them all.
 
 Scoring. Whole texts go through in windows with the state carried to the end of the text.
 """
@@ -36,7 +38,7 @@ from .words import runs, space_words
 CLASSES, IN_CLASS, HIDDEN = 32, 32, 16
 VOCAB = CLASSES * IN_CLASS
 SPLIT = 65536
-WINDOW, SEGMENT_WINDOWS, BATCH = 32, 2, 256
+WINDOW, SEGMENT_WINDOWS, BATCH, POOL = 32, 32, 256, 4096
 RATE = 0.15
 SCORE_BATCH, SCORE_WINDOW, SCORE_BYTES = 256, 64, 16 << 20
 #: Words a counting task holds before it hands them on.
@@ -155,45 +157,54 @@ class Network:
                 back[at] += q @ block
         return (result, back) if grads is not None else result
 
-    def gradients(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray):
-        """Mean loss, gradients and last state over one full window (T, B)."""
+    def gradients(self, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray, live: list[int] | None = None):
+        """Mean loss, gradients and last state over one window (T, B), of which at step t the
+        first live[t] rows count; all, if it isn't given."""
         T, B = inputs.shape
         H = self.u.shape[0]
-        states, last, memory = self.steps(inputs, h, [B] * T, keep=True)
+        live = [B] * T if live is None else live
+        mask = np.arange(B) < np.array(live)[:, None]
+        states, last, memory = self.steps(inputs, h, live, keep=True)
         grads: dict[str, np.ndarray] = {}
-        logs, back = self.log_probs(states.reshape(T * B, H), targets.ravel(), grads)
-        back = back.reshape(T, B, H)
+        logs, own = self.log_probs(states[mask], targets[mask], grads)
+        back = np.zeros((T, B, H), states.dtype)
+        back[mask] = own
         dp = np.zeros((T, B, 3 * H), states.dtype)
         grads["u"] = np.zeros_like(self.u)
         carry = np.zeros_like(h)
         for t in reversed(range(T)):
             a, z, r, n, hn = memory[t]
-            d = back[t] + carry
+            k = live[t]
+            d = back[t, :k] + carry[:k]
             dn = d * (1 - z) * (1 - n * n)
-            dp[t, :, :H] = d * (a - n) * z * (1 - z)
-            dp[t, :, H : 2 * H] = dn * hn * r * (1 - r)
-            dp[t, :, 2 * H :] = dn
-            dh = np.concatenate([dp[t, :, : 2 * H], dn * r], 1)
+            dp[t, :k, :H] = d * (a - n) * z * (1 - z)
+            dp[t, :k, H : 2 * H] = dn * hn * r * (1 - r)
+            dp[t, :k, 2 * H :] = dn
+            dh = np.concatenate([dp[t, :k, : 2 * H], dn * r], 1)
             grads["u"] += a.T @ dh
-            carry = d * z + dh @ self.u.T
-        flat = dp.reshape(T * B, 3 * H)
+            carry[:k] = d * z + dh @ self.u.T
+        flat, ids = dp[mask], inputs[mask]
         grads["b"] = flat.sum(0)
-        ids = inputs.ravel()
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         grads["x"] = np.zeros_like(self.x)
         grads["x"][ids[order][first]] = np.add.reduceat(flat[order], first, axis=0)
         return -logs.mean(), grads, last
 
-    def train(self, segments: np.ndarray, memory: dict, window: int = WINDOW) -> float:
-        """One pass over segments (B, n * window + 1) of ids, a step for each window."""
-        h = np.zeros((len(segments), self.u.shape[0]), np.float32)
+    def train(self, texts: list[np.ndarray], start: int, memory: dict, window: int = WINDOW) -> float:
+        """One pass over id sequences side by side, a step for each window; the state goes on
+        from window to window. A step counts by the tokens in it. Gives the last loss."""
+        texts = sorted(texts, key=len, reverse=True)
+        size = np.array([len(t) for t in texts])
+        h = np.zeros((len(texts), self.u.shape[0]), np.float32)
         loss = 0.0
-        for s in range(0, segments.shape[1] - 1, window):
-            part = segments[:, s : s + window + 1].T
-            loss, grads, h = self.gradients(part[:-1], part[1:], h)
+        for s in range(0, int(size[0]), window):
+            ids, live = _window(texts, size, s, window, start)
+            rows = live[0]
+            loss, grads, h[:rows] = self.gradients(ids[:-1], ids[1:], h[:rows], live)
+            share = np.float32(sum(live) / (window * BATCH))
             for n in _NAMES:
-                g = np.clip(grads[n], -1, 1)
+                g = np.clip(grads[n], -1, 1) * share
                 memory[n] = memory.get(n, 1e-4) + g * g
                 getattr(self, n)[...] -= RATE * g / np.sqrt(memory[n])
         return loss
@@ -207,13 +218,8 @@ class Network:
             size = np.array([len(texts[i]) for i in group])
             h = np.zeros((len(group), self.u.shape[0]), np.float32)
             for s in range(0, int(size[0]), window):
-                rows = int((size > s).sum())
-                steps = int(min(window, size[0] - s))
-                ids = np.full((steps + 1, rows), start, np.int64)
-                for j in range(rows):
-                    part = texts[group[j]][max(s - 1, 0) : s + steps]
-                    ids[1 - min(s, 1) : 1 - min(s, 1) + len(part), j] = part
-                live = [int((size > s + t).sum()) for t in range(steps)]
+                ids, live = _window([texts[i] for i in group], size, s, window, start)
+                rows, steps = live[0], len(live)
                 states, last, _ = self.steps(ids[:-1], h[:rows], live)
                 h[:rows] = last
                 mask = np.arange(steps)[:, None] + s < size[None, :rows]
@@ -224,6 +230,19 @@ class Network:
         return out / math.log(10)
 
 
+def _window(texts: list[np.ndarray], size: np.ndarray, s: int, window: int, start: int) -> tuple[np.ndarray, list[int]]:
+    """Ids (T + 1, B) from before place s on, of the texts that go on there, longest first,
+    and how many of them each step has."""
+    rows = int((size > s).sum())
+    steps = int(min(window, size[0] - s))
+    ids = np.full((steps + 1, rows), start, np.int64)
+    skip = 1 - min(s, 1)
+    for j in range(rows):
+        part = texts[j][max(s - 1, 0) : s + steps]
+        ids[skip : skip + len(part), j] = part
+    return ids, np.searchsorted(-size[:rows], -(s + np.arange(steps)), "left").tolist()
+
+
 @dataclass
 class Lexicon:
     """Frequent words with their training counts, the first of which are the vocabulary."""
@@ -303,12 +322,10 @@ def frequencies(lex: Lexicon) -> np.ndarray:
     return f
 
 
-def segments_of(ids: np.ndarray, start: int) -> list[np.ndarray]:
-    """A document's segments; the last is filled with ends, as a text goes on after its end."""
+def segments_of(ids: np.ndarray) -> list[np.ndarray]:
+    """A document's segments of WINDOW * SEGMENT_WINDOWS tokens; the last may be shorter."""
     size = WINDOW * SEGMENT_WINDOWS
-    n = -(-len(ids) // size)
-    ids = np.concatenate([[start], ids, np.full(n * size - len(ids), start)])
-    return [ids[s * size : (s + 1) * size + 1] for s in range(n)]
+    return [ids[low : low + size] for low in range(0, len(ids), size)]
 
 
 def train(docs: DataFrame, lex: Lexicon) -> Network:
@@ -319,21 +336,26 @@ def train(docs: DataFrame, lex: Lexicon) -> Network:
     begin = sc.broadcast(first.to_bytes())
     schema = pa.schema([("part", pa.int64()), ("weight", pa.float64()), ("net", pa.binary())])
 
+    def step(net: Network, memory: dict, waiting: list[np.ndarray]) -> int:
+        """Train on segments, those of like length together, and count their tokens."""
+        waiting = sorted(waiting, key=len, reverse=True)
+        groups = range(0, len(waiting), BATCH)
+        for low in np.random.default_rng(len(waiting)).permutation(groups).tolist():
+            net.train(waiting[low : low + BATCH], held.value.end, memory)
+        return sum(map(len, waiting))
+
     def fit(batches):
         lexi, net, memory = held.value, Network.from_bytes(begin.value), {}
         waiting, seen = [], 0
         for batch in batches:
             for _, texts in runs(batch):
                 for t in texts:
-                    ids = lexi.encode(space_words(t))
-                    waiting += segments_of(ids, lexi.end)
-                while len(waiting) >= BATCH:
-                    net.train(np.stack(waiting[:BATCH]), memory)
-                    seen += BATCH
-                    del waiting[:BATCH]
+                    waiting += segments_of(lexi.encode(space_words(t)))
+                if len(waiting) >= POOL:
+                    seen += step(net, memory, waiting)
+                    waiting = []
         if waiting:
-            net.train(np.stack(waiting), memory)
-            seen += len(waiting)
+            seen += step(net, memory, waiting)
         if seen:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()]), pa.array([float(seen)]), pa.array([net.to_bytes()], pa.binary())], schema=schema)
 
@@ -362,7 +384,7 @@ def score(docs: DataFrame, key: str = "doc_id", mod: int = 7, out: int = 2) -> D
     """key, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of docs.
 
     Learns from the rows whose key's remainder isn't `out`. Null and empty texts are only an
-    end. Repeated rows each get their scores; other columns don't matter; without training
+    end. Very long texts are scored in windows to their end. Repeated rows each get their scores; other columns don't matter; without training
     rows the counts are 0 and the network is the one it starts with; no rows give no rows.
     """
     ship_code(docs.sparkSession)
