@@ -57,6 +57,8 @@ class TextReader:
     def __init__(self, text: str):
         self.text = text
         self.symbols: list[str | None] = list(SYSTEM_SYMBOLS)
+        #: Where the value begins that `values` is at, after all that it has given.
+        self.done = 0
 
     def fail(self, what: str, at: int) -> IonError:
         line = self.text.count("\n", 0, at) + 1
@@ -68,6 +70,7 @@ class TextReader:
     def values(self) -> Iterator[object]:
         at = self.skip(0)
         while at < len(self.text):
+            self.done = at
             value, at, notes, bare = self._value(at)
             at = self.skip(at)
             if notes and notes[0] == "$ion_symbol_table" and isinstance(value, Struct):

@@ -12,12 +12,12 @@ from __future__ import annotations
 import gzip
 import math
 import pickle
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,14 +90,45 @@ def _is_binary(spark: SparkSession, path: str) -> bool:
         stream.close()
 
 
-def line_values(lines: list[str]) -> Iterator[object]:
-    """Values of lines. A value that goes on in the next line can't be told from a fault, so
-    lines that don't parse alone are put together with those that follow."""
-    try:
-        for line in lines:
-            yield from TextReader(line).values()
-    except IonError as e:
-        raise IonError(f"{e}; format='newline_delimited' needs each value on one line") from e
+class Lines:
+    """Values of lines as they come in batches. Mostly a line is a value; where one isn't,
+    the lines are a stream: values, comments and symbol tables may go over several, also from
+    batch to batch."""
+
+    #: What a value without end may grow to before it is taken for a fault.
+    MOST = 16 << 20
+
+    def __init__(self):
+        self.symbols: list[str | None] | None = None
+        self.open = ""
+
+    def values(self, lines: list[str], last: bool = False) -> Iterator[object]:
+        """The values that end in these lines; with `last`, there can be no others."""
+        reader = TextReader("\n".join([self.open, *lines] if self.open else lines))
+        reader.symbols = self.symbols or reader.symbols
+        self.open = ""
+        try:
+            yield from reader.values()
+        except IonError as e:
+            self.open = reader.text[reader.done :]
+            if last or len(self.open) > self.MOST:
+                raise IonError(f"{e}; with format='newline_delimited' a value has to end in the split that it begins in") from e
+        self.symbols = reader.symbols
+
+    def each(self, lines: list[str]) -> list[object] | None:
+        """The values of lines that each are some; None if they aren't."""
+        if self.open:
+            return None
+        reader = TextReader("")
+        reader.symbols = self.symbols or reader.symbols
+        found: list[object] = []
+        try:
+            for reader.text in lines:
+                found += reader.values()
+        except IonError:
+            return None
+        self.symbols = reader.symbols
+        return found
 
 
 def infer(spark: SparkSession, files: list[str], options: ReadOptions) -> tuple[T.StructType, bool]:
@@ -118,10 +149,10 @@ def _sample(spark: SparkSession, path: str, options: ReadOptions, state: Inferen
     begin, form = pickle.dumps(state), options.format
 
     def look(batches):
-        own, n = pickle.loads(begin), 0
+        own, n, taken = pickle.loads(begin), 0, Lines()
         for batch in batches:
             if pa.types.is_string(batch.column(0).type) or pa.types.is_large_string(batch.column(0).type):
-                values = line_values(batch.column(0).to_pylist())
+                values = taken.values(batch.column(0).to_pylist())
             else:
                 values = (v for data in batch.column(0).to_pylist() for v in file_values(data, form))
             for v in values:
@@ -180,30 +211,40 @@ def _batch(columns: list[list], n: int, kinds: list[pa.DataType], names: list[st
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
 
-def _lines_scan(lines: list[str], schema: T.StructType, records: bool, kinds: list[pa.DataType], shape: Shape | None) -> Iterator[pa.RecordBatch]:
-    """Batches of a run of lines: those of the shape at once, the rest by the parser."""
+def _lines_scan(lines: list[str], schema: T.StructType, records: bool, kinds: list[pa.DataType], shape: Shape | None, taken: Lines) -> Iterator[pa.RecordBatch]:
+    """Batches of a run of lines: those of the shape at once, the rest by the parser. If the
+    rest aren't values each, all lines are a stream."""
     names = [f.name for f in schema]
-    rest = lines
-    if shape is not None and shape.pattern is not None:
+    found: list[tuple] = []
+    values: Iterator[object] | list[object] | None = None
+    if shape is not None and shape.pattern is not None and not taken.open:
         found, odd = shape.take(lines)
-        if found:
-            columns = list(zip(*found)) if shape.names else []
-            arrays = []
-            for f, kind in zip(schema, kinds):
-                if f.name not in shape.names:
-                    arrays.append(pa.nulls(len(found), kind))
-                    continue
-                i = shape.names.index(f.name)
-                array = fast_column(columns[i], shape.kinds[i], f.dataType, kind)
-                if array is None:
-                    array = pa.array([coerce(next(TextReader(t).values()), f.dataType) for t in columns[i]], kind)
-                arrays.append(array)
-            yield pa.RecordBatch.from_arrays(arrays, names) if names else _batch([], len(found), [], [])
-        rest = [lines[i] for i in odd]
-    for columns, n in _arrays(line_values(rest), schema, records):
+        values = taken.each([lines[i] for i in odd])
+    if values is None:
+        found, values = [], taken.values(lines)
+    if found:
+        columns = list(zip(*found)) if shape.names else []
+        arrays = []
+        for f, kind in zip(schema, kinds):
+            if f.name not in shape.names:
+                arrays.append(pa.nulls(len(found), kind))
+                continue
+            i = shape.names.index(f.name)
+            array = fast_column(columns[i], shape.kinds[i], f.dataType, kind)
+            if array is None:
+                array = pa.array([coerce(next(TextReader(t).values()), f.dataType) for t in columns[i]], kind)
+            arrays.append(array)
+        yield pa.RecordBatch.from_arrays(arrays, names) if names else _batch([], len(found), [], [])
+    for columns, n in _arrays(iter(values), schema, records):
         yield _batch(columns, n, kinds, names)
 
 
+def _lines_end(schema: T.StructType, records: bool, kinds: list[pa.DataType], taken: Lines) -> Iterator[pa.RecordBatch]:
+    """What is open when there are no more lines: nothing, or a fault."""
+    for columns, n in _arrays(taken.values([], last=True) if taken.open else iter(()), schema, records):
+        yield _batch(columns, n, kinds, schema.names)
+
+
 def read_ion(spark: SparkSession, path, select: list[str] | None = None, **given) -> DataFrame:
     """Ion files as a DataFrame; options as in `read_options`.
 
@@ -231,12 +272,21 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
     kinds = [to_arrow_type(plain(f.dataType)) for f in schema]
     shown = plain(schema) if names else T.StructType([T.StructField("__none", T.BooleanType())])
     form = options.format
-    rows_read = spark.sparkContext.accumulator(0) if options.profile else None
+    sc = spark.sparkContext
+    rows_read, seconds = (sc.accumulator(0), sc.accumulator(0.0)) if options.profile else (None, None)
 
     def told(batches):
-        for b in batches:
-            if rows_read is not None:
-                rows_read.add(b.num_rows)
+        if rows_read is None:
+            yield from batches
+            return
+        batches = iter(batches)
+        while True:
+            began = time.perf_counter()
+            b = next(batches, None)
+            seconds.add(time.perf_counter() - began)
+            if b is None:
+                return
+            rows_read.add(b.num_rows)
             yield b
 
     def decoded(data: bytes) -> Iterator[pa.RecordBatch]:
@@ -247,25 +297,27 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
                 yield _batch(columns, n, kinds, names)
 
     def lines(batches):
-        shape = None
+        shape, taken, now = None, Lines(), None
         binary: _Binary | None = None
         for batch in batches:
-            for value, file, size, marked in _by_file(batch, binary is not None):
-                if binary is not None and file == binary.file:
-                    binary.parts += value.to_pylist()
-                    continue
+            for value, file, size in _by_file(batch):
+                if file != now:
+                    if binary is not None:
+                        yield from told(decoded(binary.data()))
+                    yield from told(_lines_end(schema, records, kinds, taken))
+                    binary, taken, now = None, Lines(), file
+                    if value[0].as_py()[:4] == MARK:  # no text begins so: the mark isn't UTF-8
+                        binary = _Binary(size, [])
                 if binary is not None:
-                    yield from told(decoded(binary.data()))
-                    binary = None
-                if marked:
-                    binary = _Binary(file, size, value.to_pylist())
+                    binary.parts += value.to_pylist()
                     continue
-                own = [x for x in value.cast(pa.string()).to_pylist() if x and not x.isspace()]
-                if own and shape is None and records:
-                    shape = Shape(own[0], schema)
-                yield from told(_lines_scan(own, schema, records, kinds, shape))
+                own = value.cast(pa.string()).to_pylist()
+                if shape is None and records and (first := next((x for x in own if x and not x.isspace()), None)):
+                    shape = Shape(first, schema)
+                yield from told(_lines_scan(own, schema, records, kinds, shape, taken))
         if binary is not None:
             yield from told(decoded(binary.data()))
+        yield from told(_lines_end(schema, records, kinds, taken))
 
     def whole(batches):
         for batch in batches:
@@ -291,7 +343,7 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
     else:
         df = spark.read.format("binaryFile").load(files).select("content").mapInArrow(whole, shown)
     if rows_read is not None:
-        df.ion_rows_read = rows_read
+        df.ion_rows_read, df.ion_seconds = rows_read, seconds
     return df
 
 
@@ -299,7 +351,6 @@ def _scan(spark: SparkSession, files: list[str], options: ReadOptions, schema: T
 class _Binary:
     """A binary file that comes as lines, as it lies among text files."""
 
-    file: int
     size: int
     parts: list[bytes]
 
@@ -312,21 +363,14 @@ class _Binary:
         return data
 
 
-def _by_file(batch: pa.RecordBatch, within: bool) -> Iterator[tuple[pa.Array, int, int, bool]]:
-    """The batch's lines with the number and size of their file, and whether they begin like
-    binary Ion; in runs of one file if any do, or if the lines before were of a binary file.
-
-    No text begins so: the mark isn't UTF-8.
-    """
+def _by_file(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, int, int]]:
+    """The batch's lines in runs of one file, with its number and size."""
     value = batch.column(0)
-    if not within and not pc.any(pc.starts_with(value, MARK)).as_py():
-        yield value, 0, 0, False
-        return
     files, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
     bounds = [0, *(np.flatnonzero(np.diff(files)) + 1).tolist(), len(value)]
     for low, high in zip(bounds, bounds[1:]):
         if low < high:
-            yield value.slice(low, high - low), int(files[low]), int(sizes[low]), value[low].as_py()[:4] == MARK
+            yield value.slice(low, high - low), int(files[low]), int(sizes[low])
 
 
 def _same_shape(text: str, schema: T.StructType, kinds: list[pa.DataType]) -> Iterator[pa.RecordBatch] | None:
@@ -339,7 +383,7 @@ def _same_shape(text: str, schema: T.StructType, kinds: list[pa.DataType]) -> It
     shape = Shape(lines[0], schema)
     if shape.pattern is None or not all(map(shape.pattern.fullmatch, lines)):
         return None
-    return (b for low in range(0, len(lines), 1 << 16) for b in _lines_scan(lines[low : low + (1 << 16)], schema, True, kinds, shape))
+    return (b for low in range(0, len(lines), 1 << 16) for b in _lines_scan(lines[low : low + (1 << 16)], schema, True, kinds, shape, Lines()))
 
 
 def count_ion(spark: SparkSession, path, **given) -> int:

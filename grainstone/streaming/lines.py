@@ -10,7 +10,7 @@ from ..cluster import ship_code
 from ..functions.to_ion import to_ion
 from ..plans.types import plain
 from ..sources.options import OptionError, read_options
-from ..sources.reader import _lines_scan
+from ..sources.reader import Lines, _lines_end, _lines_scan
 from ..sources.shape import Shape
 
 
@@ -27,12 +27,13 @@ def read_ion_stream(spark: SparkSession, path: str, **given) -> DataFrame:
     kinds = [to_arrow_type(plain(f.dataType)) for f in schema]
 
     def parse(batches):
-        shape = None
+        shape, taken = None, Lines()
         for batch in batches:
-            own = [x for x in batch.column(0).to_pylist() if x and not x.isspace()]
-            if own and shape is None:
-                shape = Shape(own[0], schema)
-            yield from _lines_scan(own, schema, True, kinds, shape)
+            own = batch.column(0).to_pylist()
+            if shape is None and (first := next((x for x in own if x and not x.isspace()), None)):
+                shape = Shape(first, schema)
+            yield from _lines_scan(own, schema, True, kinds, shape, taken)
+        yield from _lines_end(schema, True, kinds, taken)
 
     return spark.readStream.text(path).mapInArrow(parse, plain(schema))
 
