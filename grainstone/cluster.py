@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,3 +70,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """df, written to the shared folder and read from there; `forget` deletes it.
+
+    Smaller than a checkpoint and gone when told, but its rows come in other partitions.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/kept-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.kept_at = path
+    return out
+
+
+def forget(*kept: DataFrame) -> None:
+    """Delete what `keep` wrote, and have the driver let go of shuffles that nothing needs."""
+    for df in kept:
+        delete_folder(df.sparkSession, df.kept_at)
+    if kept:
+        kept[0].sparkSession._jvm.System.gc()
