@@ -2,7 +2,8 @@
 
 Kiveris et al., "Connected components in MapReduce and beyond" (2014). Each round takes a
 minimum for each node (combined before the shuffle) and joins it back, so a hub's edges can
-be split like any skewed join. Each round is cut at the shared checkpoint folder.
+be split like any skewed join. Each round is written to the shared folder, and the one
+before it deleted.
 """
 
 from __future__ import annotations
@@ -10,25 +11,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import cut_lineage
+from ..cluster import forget, keep
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of edges (a, b): the smallest node it can reach.
 
-    Nulls, loops and repeated edges change nothing; no edges give no rows.
+    Nulls, loops and repeated edges change nothing; no edges give no rows. The result is kept
+    in the shared folder, what led to it isn't.
     """
-    now = cut_lineage(_clean(edges))
+    now = keep(_clean(edges))
     mark = _mark(now)
     while mark[0]:
-        now = cut_lineage(_small_star(_large_star(now)))
+        before, now = now, keep(_small_star(_large_star(now)))
         after = _mark(now)
+        forget(before)
         if after == mark:
             break
         mark = after
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
-        now.select(F.col("b").alias("node"), F.col("b").alias("component"))
-    ).groupBy("node").agg(F.min("component").alias("component"))
+    ends = now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")))
+    found = keep(ends.groupBy("node").agg(F.min("component").alias("component")))
+    forget(now)
+    return found
 
 
 def _clean(edges: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..cluster import cut_lineage, ship_code
+from ..cluster import forget, keep, ship_code
 from .components import components
 from .simhash import RADIUS, _votes, edges_within, majority, shingle_hashes
 from .words import runs, space_words
@@ -151,12 +151,12 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 
 
 def _read(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """The sets of the wanted nodes, from one document of each."""
-    rows = nodes.join(wanted, "node", "left_semi").select(F.col("least.row").alias("__row"))
-    rows = cut_lineage(rows)
-    if rows.count() <= _BROADCAST_ROWS:
-        rows = F.broadcast(rows)
-    return cut_lineage(_sets(_numbered(docs.select("text")).join(rows, "__row", "left_semi"), size))
+    """The sets of the wanted nodes, from one document of each; kept."""
+    rows = keep(nodes.join(wanted, "node", "left_semi").select(F.col("least.row").alias("__row")))
+    few = rows.count() <= _BROADCAST_ROWS
+    sets = keep(_sets(_numbered(docs.select("text")).join(F.broadcast(rows) if few else rows, "__row", "left_semi"), size))
+    forget(rows)
+    return sets
 
 
 def _near(similarity: float):
@@ -166,28 +166,38 @@ def _near(similarity: float):
 def _seeds(docs: DataFrame, nodes: DataFrame, similarity: float, size: int) -> DataFrame:
     """Similar pairs (a, b) among those whose fingerprints lie within RADIUS: each node with
     the least one of its fingerprint, and those with one another."""
-    points = cut_lineage(nodes.groupBy("fp").agg(F.min("node").alias("head")))
+    points = keep(nodes.groupBy("fp").agg(F.min("node").alias("head")))
     same = nodes.select("node", "fp").join(points, "fp").where("node <> head").select(F.col("node").alias("a"), F.col("head").alias("b"))
     near = edges_within(points.select("fp"), RADIUS).distinct()
     near = near.join(points.select(F.col("fp").alias("a"), F.col("head").alias("x")), "a").join(points.select(F.col("fp").alias("b"), F.col("head").alias("y")), "b")
-    pairs = cut_lineage(same.unionByName(near.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    pairs = keep(same.unionByName(near.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    forget(points)
+    return _checked(docs, nodes, pairs, similarity, size)
+
+
+def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: float, size: int, edges: DataFrame | None = None) -> DataFrame:
+    """Edges and those of pairs that are similar, kept instead of both."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    return cut_lineage(_similar(pairs, _read(docs, nodes, wanted, size), similarity))
+    sets = _read(docs, nodes, wanted, size)
+    found = _similar(pairs, sets, similarity)
+    out = keep(found if edges is None else edges.unionByName(found))
+    forget(sets, pairs, *([] if edges is None else [edges]))
+    return out
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: float, size: int) -> DataFrame:
-    """(node, component) for the nodes that have a similar one."""
+    """(node, component) for the nodes that have a similar one; kept."""
     edges = _seeds(docs, nodes, similarity, size)
-    found = cut_lineage(components(edges))
+    found = components(edges)
     rows = buckets.count()
     for turn in range(_ROUNDS + 1):
-        known = buckets.join(found, "node", "left").select("s", "node", "n", F.coalesce("component", "node").alias("label"))
-        known = cut_lineage(known)
-        lots = known.groupBy("s", "label").agg(F.count(F.lit(1)).cast("double").alias("c")).groupBy("s").agg(((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)) / 2).alias("open"))
-        lots = cut_lineage(lots.where("open > 0"))
+        known = keep(buckets.join(found, "node", "left").select("s", "node", "n", F.coalesce("component", "node").alias("label")))
+        many = known.groupBy("s", "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
+        lots = keep(many.groupBy("s").agg(((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)) / 2).alias("open")).where("open > 0"))
         left = lots.agg(F.sum("open")).first()[0] or 0
         if not left:
-            return found
+            forget(known, lots)
+            break
         open_ = known.join(lots.select("s"), "s", "left_semi")
         whole = left <= _PAIRS_A_ROW * rows or turn == _ROUNDS
         if whole:
@@ -198,12 +208,14 @@ def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: f
         else:
             hub = open_.groupBy("s").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "label")).alias("hub"))
             pairs = open_.join(hub, "s").where("label <> hub.label").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), "n", F.col("hub.n").alias("m"))
-        pairs = cut_lineage(_possible(pairs, nodes, similarity))
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        edges = cut_lineage(edges.unionByName(_similar(pairs, _read(docs, nodes, wanted, size), similarity)))
-        found = cut_lineage(components(edges))
+        pairs = keep(_possible(pairs, nodes, similarity))
+        forget(known, lots, found)
+        edges = _checked(docs, nodes, pairs, similarity, size, edges)
+        found = components(edges)
         if whole:
-            return found
+            break
+    forget(edges)
+    return found
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
@@ -216,18 +228,20 @@ def representatives(docs: DataFrame, key: str = "doc_id", similarity: float = SI
     """
     spark = docs.sparkSession
     ship_code(spark)
-    told = cut_lineage(_told(docs, key, size))
+    told = keep(_told(docs, key, size))
     weights = np.zeros(1 << _CELL_BITS, np.int64)
     counts = told.where("counts is not null").select(F.posexplode("counts").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     weights[counts["cell"].to_numpy()] = counts["n"].to_numpy()
     least = F.min(F.struct(F.col("k").isNull().alias("none"), "k", "row")).alias("least")
-    nodes = cut_lineage(told.where("node is not null").groupBy("node").agg(least, F.first("fp").alias("fp"), F.first("bits").alias("bits")))
+    nodes = keep(told.where("node is not null").groupBy("node").agg(least, F.first("fp").alias("fp"), F.first("bits").alias("bits")))
 
     own = Window.partitionBy("s")
     prefixes = _prefixes(docs, size, similarity, spark.sparkContext.broadcast(weights))
     marked = prefixes.withColumn("before", F.lag("node").over(own.orderBy("node"))).withColumn("low", F.min("node").over(own)).withColumn("high", F.max("node").over(own))
-    buckets = cut_lineage(marked.where("low <> high and (before is null or before <> node)").select("s", "node", "n"))
+    buckets = keep(marked.where("low <> high and (before is null or before <> node)").select("s", "node", "n"))
+    forget(told)
     found = _linked(docs, nodes, buckets, similarity, size)
     labelled = nodes.join(found, "node", "left").select("least", F.coalesce("component", "node").alias("component"))
-    heads = labelled.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row"))
+    heads = keep(labelled.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row")))
+    forget(buckets, found, nodes)
     return _numbered(docs).join(heads, "__row", "left_semi").drop("__row")

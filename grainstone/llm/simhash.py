@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import cut_lineage, ship_code
+from ..cluster import forget, keep, ship_code
 from .components import components
 from .words import runs, space_words
 
@@ -232,10 +232,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", radius: int = RADIUS,
     their row. A null key takes its group's smallest key, null if the group has none. Other
     columns don't matter; an empty table gives an empty one.
     """
-    told = cut_lineage(fingerprints(docs, key, size))
-    points = cut_lineage(told.groupBy("fp").agg(F.min(key).alias("least")))
+    told = keep(fingerprints(docs, key, size))
+    points = keep(told.groupBy("fp").agg(F.min(key).alias("least")))
     found = components(edges_within(points, radius))
-    labelled = cut_lineage(points.join(found, points.fp == found.node, "left").select("fp", "least", "component"))
+    labelled = keep(points.join(found, points.fp == found.node, "left").select("fp", "least", "component"))
+    forget(points, found)
     alone = labelled.where("component is null").select("fp", F.col("least").alias("component_id"))
     salts = F.lit(SALTS)
     heads = labelled.where("component is not null").groupBy("component").agg(F.min("least").alias("component_id"))
