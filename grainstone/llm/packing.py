@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import cut_lineage, ship_code
+from ..cluster import keep, ship_code
 from .tokens import held
 from .words import runs
 
@@ -163,13 +163,14 @@ def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer:
     path = tokenizer or public_tokenizers.path("word_bpe_49k.json")
     kind = dict(docs.dtypes)[key]
     end = np.array([END], "<u4").tobytes()
-    names = ["k", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "at_boundary", "ids"]
+    names = ["k", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "at_boundary", "ids", "ends"]
+    none = (pa.binary(), pa.list_(pa.int32()))
 
     def told(pieces, keys, key_type):
         for low in range(0, len(pieces), 20000):
             columns = list(zip(*pieces[low : low + 20000]))
             got = pa.array([keys[r] for r in columns[0]], key_type)
-            yield pa.RecordBatch.from_arrays([got, *(pa.array(c, pa.int64()) for c in columns[1:7]), pa.array(columns[7], pa.bool_()), pa.nulls(len(got), pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([got, *(pa.array(c, pa.int64()) for c in columns[1:7]), pa.array(columns[7], pa.bool_()), *(pa.nulls(len(got), t) for t in none)], names)
 
     def run(batches):
         ids_of = held(path)
@@ -195,11 +196,11 @@ def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer:
         if packer.docs:
             rows, ids, before, whole = zip(*packer.docs)
             n = len(rows)
+            ends = [np.flatnonzero(ids_of.stops[np.frombuffer(x, "<u4")]) + 1 for x in ids]
             columns = [pa.array([keys[r] for r in rows], key_type), pa.array(before, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([0] * n, pa.int64()), pa.array(whole, pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array([first] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.nulls(n, pa.bool_()), pa.array(ids, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([first] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.nulls(n, pa.bool_()), pa.array(ids, none[0]), pa.array(ends, none[1])], names)
 
     def again(batches):
-        stops = held(path).stops
         packer, now, keys, key_type = None, None, [], None
         for batch in batches:
             key_type = batch.schema.field("k").type
@@ -210,13 +211,12 @@ def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer:
                     now, keys = r["group"], []
                     packer = Packer(window, 1 << 62 | now << 33)
                 keys.append(r["k"])
-                ends = np.flatnonzero(stops[np.frombuffer(r["ids"], "<u4")]) + 1
-                packer.add(len(keys) - 1, r["ids"], *document_places(ends, r["length"], window), r["start"])
+                packer.add(len(keys) - 1, r["ids"], *document_places(np.array(r["ends"], np.int64), r["length"], window), r["start"])
         if packer is not None:
             yield from told(packer.flush(True), keys, key_type)
 
-    shape = f"k {kind}, {PIECE}, ids binary"
-    packed = cut_lineage(docs.select(F.col(key).alias("k"), "text").mapInArrow(run, shape))
+    shape = f"k {kind}, {PIECE}, ids binary, ends array<int>"
+    packed = keep(docs.select(F.col(key).alias("k"), "text").mapInArrow(run, shape))
     rest = packed.where("ids is not null").withColumn("group", F.shiftright("sequence_id", 33).cast("long") / F.lit(group)).withColumn("group", F.floor("group"))
     rest = rest.repartition("group").sortWithinPartitions("group", "sequence_id", "offset").mapInArrow(again, shape)
-    return packed.where("ids is null").unionByName(rest).drop("ids").withColumnRenamed("k", key)
+    return packed.where("ids is null").unionByName(rest).drop("ids", "ends").withColumnRenamed("k", key)
