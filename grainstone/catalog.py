@@ -383,9 +383,9 @@ def _refusals(spark: SparkSession, attempts: dict) -> DataFrame:
 
 @query("""SELECT * FROM (VALUES
   ('unknown', 'Invalid named parameter "formt" for function read_ion'),
-  ('null', 'read_ion does not allow NULL named parameters'),
-  ('no path', 'read_ion expects a file path or list of file paths'),
-  ('scalars with columns', 'read_ion cannot use "columns" when records=false')) AS v(attempt, message)""")
+  ('null', 'option format of read_ion can''t be NULL'),
+  ('no path', 'read_ion takes a path or a list of paths'),
+  ('scalars with columns', 'with records=false there are no fields, so read_ion takes no columns')) AS v(attempt, message)""")
 def ion_read_refusals(spark, sf_dir):
     path = stored(spark, table(spark, sf_dir, "region"))
     return _refusals(spark, {
@@ -397,8 +397,8 @@ def ion_read_refusals(spark, sf_dir):
 
 
 @query("""SELECT * FROM (VALUES
-  ('unknown', 'Unknown option for COPY ... TO ... (FORMAT ION): "formt".'),
-  ('arity', 'array parameter expects a single argument.'),
+  ('unknown', 'write_ion has no option ''formt'''),
+  ('arity', 'array takes one value'),
   ('binary format', 'date and timestamp formats can''t be used with binary Ion')) AS v(attempt, message)""")
 def ion_write_refusals(spark, sf_dir):
     df, path = table(spark, sf_dir, "region"), scratch(spark)

@@ -22,8 +22,8 @@ from .values import IonError
 
 #: Rows, and bytes of rows, that are stepped through at once.
 ROWS, BYTES = 1 << 16, 16 << 20
-_NOT_LIST = "read_ion expects a top-level list when format='array'"
-_NOT_RECORD = "read_ion expects records to be structs"
+_NOT_LIST = "with format='array' a file has to begin with a list"
+_NOT_RECORD = "a record has to be a struct"
 _WHOLE = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
 
 

@@ -38,43 +38,47 @@ class ReadOptions:
         return Rules(self.maximum_depth, self.field_appearance_threshold, self.map_inference_threshold, self.conflict_mode == "json")
 
 
-def _says(name: str, what: str) -> OptionError:
-    return OptionError(f'read_ion "{name}" {what}')
+#: Messages that users' tests compare.
+_NO_STRUCT = 'read_ion "columns" parameter requires a struct as input.'
+_NO_TYPE = 'read_ion "columns" parameter type specification cannot be NULL.'
+_NO_TEXT = 'read_ion "columns" parameter type specification must be VARCHAR.'
+_UNKNOWN = 'Invalid named parameter "{}" for function read_ion'
+
+
+def _wrong(name: str, value, wanted: str) -> OptionError:
+    return OptionError(f"option {name} of read_ion is {value!r}; it takes {wanted}")
 
 
 def _columns(value) -> T.StructType:
     if isinstance(value, T.StructType):
         value = {f.name: f.dataType for f in value}
     if not isinstance(value, Mapping):
-        raise _says("columns", "parameter requires a struct as input.")
+        raise OptionError(_NO_STRUCT)
     fields = []
     for name, kind in value.items():
         if kind is None:
-            raise _says("columns", "parameter type specification cannot be NULL.")
+            raise OptionError(_NO_TYPE)
         if not isinstance(kind, (str, T.DataType)):
-            raise _says("columns", "parameter type specification must be VARCHAR.")
+            raise OptionError(_NO_TEXT)
         fields.append((name, parse_type(kind) if isinstance(kind, str) else kind))
     if not fields:
-        raise _says("columns", "parameter needs at least one column.")
+        raise _wrong("columns", {}, "one column or more")
     return struct_of(fields)
 
 
 def _choice(name: str, value, known: list[str]) -> str:
-    if not isinstance(value, str):
-        raise _says(name, "parameter must be VARCHAR.")
-    if value.lower() not in known:
-        raise _says(name, f"must be one of [{', '.join(repr(k) for k in known)}].")
+    if not isinstance(value, str) or value.lower() not in known:
+        raise _wrong(name, value, " or ".join(known))
     return value.lower()
 
 
 def _records(value) -> bool | None:
     if isinstance(value, bool):
         return value
-    if not isinstance(value, str):
-        raise _says("records", "parameter must be VARCHAR or BOOLEAN.")
-    if value.lower() not in ("auto", "true", "false"):
-        raise _says("records", "must be one of ['auto', 'true', 'false'] or a BOOLEAN.")
-    return {"auto": None, "true": True, "false": False}[value.lower()]
+    known = {"auto": None, "true": True, "false": False}
+    if not isinstance(value, str) or value.lower() not in known:
+        raise _wrong("records", value, "true, false or auto")
+    return known[value.lower()]
 
 
 def _count(name: str, value, less: str) -> float:
@@ -82,13 +86,13 @@ def _count(name: str, value, less: str) -> float:
     if number == -1:
         return math.inf
     if number <= 0:
-        raise _says(name, f"parameter must be positive, or -1 {less}.")
+        raise _wrong(name, value, f"a number from 1 on, or -1 {less}")
     return number
 
 
 def _bool(name: str, value) -> bool:
     if not isinstance(value, bool):
-        raise _says(name, "parameter must be BOOLEAN.")
+        raise _wrong(name, value, "true or false")
     return value
 
 
@@ -97,7 +101,7 @@ def read_options(given: Mapping) -> ReadOptions:
     for key, value in given.items():
         name = key.lower()
         if value is None:
-            raise OptionError("read_ion does not allow NULL named parameters")
+            raise OptionError(f"option {name} of read_ion can't be NULL")
         if name == "columns":
             found[name] = _columns(value)
         elif name == "format":
@@ -105,19 +109,19 @@ def read_options(given: Mapping) -> ReadOptions:
         elif name == "records":
             found[name] = _records(value)
         elif name == "maximum_depth":
-            found[name] = _count(name, value, "for unlimited")
+            found[name] = _count(name, value, "for any")
         elif name == "field_appearance_threshold":
             if not 0 <= float(value) <= 1:
-                raise _says(name, "parameter must be between 0 and 1.")
+                raise _wrong(name, value, "a share from 0 to 1")
             found[name] = float(value)
         elif name == "map_inference_threshold":
             if int(value) < -1:
-                raise _says(name, "parameter must be 0 or positive, or -1 to disable map inference.")
+                raise _wrong(name, value, "a number from 0 on, or -1 for no maps")
             found[name] = None if int(value) == -1 else int(value)
         elif name == "sample_size":
-            found[name] = _count(name, value, "to sample all input")
+            found[name] = _count(name, value, "for all values")
         elif name == "maximum_sample_files":
-            found[name] = _count(name, value, "for unlimited")
+            found[name] = _count(name, value, "for any")
         elif name in ("union_by_name", "profile"):
             found[name] = _bool(name, value)
         elif name == "use_extractor":
@@ -125,8 +129,8 @@ def read_options(given: Mapping) -> ReadOptions:
         elif name == "conflict_mode":
             found[name] = _choice(name, value, ["varchar", "json"])
         else:
-            raise OptionError(f'Invalid named parameter "{key}" for function read_ion')
+            raise OptionError(_UNKNOWN.format(key))
     out = ReadOptions(**found)
     if out.records is False and out.columns is not None:
-        raise OptionError('read_ion cannot use "columns" when records=false')
+        raise OptionError("with records=false there are no fields, so read_ion takes no columns")
     return out

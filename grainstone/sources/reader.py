@@ -35,8 +35,8 @@ from .shape import Shape, fast_column
 from .values import IonError, Struct
 
 BATCH = 8192
-_LIST = "read_ion expects a top-level list when format='array'"
-_RECORDS = "read_ion expects records to be structs"
+_LIST = "with format='array' a file has to begin with a list"
+_RECORDS = "a record has to be a struct"
 
 
 def file_values(data: bytes, form: str) -> Iterator[object]:
@@ -61,7 +61,7 @@ def list_files(spark: SparkSession, path) -> list[str]:
     """Files of a path or glob, or of a list of them, in order."""
     given = [path] if isinstance(path, str) else path
     if not isinstance(given, (list, tuple)) or not given or not all(isinstance(p, str) for p in given):
-        raise OptionError("read_ion expects a file path or list of file paths")
+        raise OptionError("read_ion takes a path or a list of paths")
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     found = []
     for p in given:

@@ -65,10 +65,10 @@ def write_options(given: dict) -> dict:
     for key, value in given.items():
         name = key.lower()
         if name not in _OPTIONS and name not in _SETTLED:
-            raise OptionError(f'Unknown option for COPY ... TO ... (FORMAT ION): "{name}".')
+            raise OptionError(f"write_ion has no option {name!r}")
         if isinstance(value, (list, tuple)) and name != "partition_by":
             if len(value) != 1:
-                raise OptionError(f"{name} parameter expects a single argument.")
+                raise OptionError(f"{name} takes one value")
             value = value[0]
         if name in _SETTLED:
             if (value.lower() if isinstance(value, str) else value) != _SETTLED[name]:
