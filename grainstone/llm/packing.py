@@ -78,21 +78,24 @@ def best_cuts(places: np.ndarray, penalties: np.ndarray, window: int, going_on:
     return cuts[::-1]
 
 
-def document_places(ends: np.ndarray, total: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in a document of `total` tokens, its end last, where it may be cut, and their
-    penalties; ends are the places, in order, where sentences end."""
-    at = np.append(ends[ends < total - 1], total)
-    gaps = np.diff(np.append(0, at))
-    step = max(1, window // STEPS)
-    if (gaps <= step).all():
-        inside = np.zeros(0, np.int64)
-    else:
-        wide = np.flatnonzero(gaps > step)
-        inside = np.concatenate([np.arange(a + step, b, step) for a, b in zip(at[wide] - gaps[wide], at[wide])])
-    places = np.concatenate([at, inside])
-    cost = np.concatenate([np.where(at == total, 0.0, AT_SENTENCE), np.full(len(inside), INSIDE)])
+def cut_places(documents: np.ndarray, sentences: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places where a stream may be cut, in order, and their penalties: where documents end,
+    the last of them the stream's end, where sentences end, and between places that are far
+    apart, some inside of sentences."""
+    places = np.concatenate([documents, sentences])
+    cost = np.concatenate([np.zeros(len(documents)), np.full(len(sentences), AT_SENTENCE)])
     order = np.argsort(places, kind="stable")
-    return places[order], cost[order]
+    places, cost = places[order], cost[order]
+    gaps = np.diff(places, prepend=0)
+    step = max(1, window // STEPS)
+    more = np.maximum(gaps - 1, 0) // step
+    if more.any():
+        nth = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more) + 1
+        inside = np.repeat(places - gaps, more) + nth * step
+        places, cost = np.concatenate([places, inside]), np.concatenate([cost, np.full(len(inside), INSIDE)])
+        order = np.argsort(places, kind="stable")
+        places, cost = places[order], cost[order]
+    return places, cost
 
 
 class Packer:
@@ -100,17 +103,15 @@ class Packer:
 
     def __init__(self, window: int, first_id: int):
         self.window, self.next = window, first_id
-        self.docs: list[tuple[int, bytes, int, int]] = []  # row, ids, tokens done before, all tokens
-        self.places: list[np.ndarray] = []
-        self.costs: list[np.ndarray] = []
+        #: Row, ids, tokens done before, all tokens, places in ids where sentences end.
+        self.docs: list[tuple[int, bytes, int, int, np.ndarray]] = []
         self.size = 0
 
-    def add(self, row: int, ids: bytes, places: np.ndarray, cost: np.ndarray, before: int = 0) -> None:
-        """A document, or what comes after its first `before` tokens."""
+    def add(self, row: int, ids: bytes, ends: np.ndarray, before: int = 0) -> None:
+        """A document, or what comes after its first `before` tokens, with the places where
+        sentences end. One right before the document's end isn't used."""
         n = len(ids) // 4
-        self.docs.append((row, ids, before, before + n))
-        self.places.append(places + self.size)
-        self.costs.append(cost)
+        self.docs.append((row, ids, before, before + n, ends[ends < n - 1]))
         self.size += n
 
     def flush(self, last: bool):
@@ -118,9 +119,13 @@ class Packer:
         windows that are final; with `last`, of all. What is left is kept for the next run."""
         if not self.size:
             return []
-        places, costs = np.concatenate(self.places), np.concatenate(self.costs)
-        ends = [int(places[c]) for c in best_cuts(places, costs, self.window, not last)]
-        cheap = dict(zip(places.tolist(), (costs <= AT_SENTENCE).tolist()))
+        sizes = np.array([len(ids) // 4 for _, ids, *_ in self.docs])
+        stops = np.cumsum(sizes)
+        sentences = np.concatenate([own for *_, own in self.docs]) + np.repeat(stops - sizes, [len(own) for *_, own in self.docs])
+        places, costs = cut_places(stops, sentences, self.window)
+        cuts = best_cuts(places, costs, self.window, not last)
+        ends = [int(places[c]) for c in cuts]
+        cheap = {int(places[c]): bool(costs[c] <= AT_SENTENCE) for c in cuts}
         done = ends[-1] if ends else 0
         pieces = []
         at = d = 0
@@ -128,7 +133,7 @@ class Packer:
         for end in ends:
             offset = 0
             while at < end:
-                row, ids, before, n = self.docs[d]
+                row, ids, before, n, _ = self.docs[d]
                 own = len(ids) // 4
                 stop = min(end, begin + own)
                 part = ids[4 * (at - begin) : 4 * (stop - begin)]
@@ -141,11 +146,11 @@ class Packer:
             self.next += 1
         rest = self.docs[d:]
         if rest and at > begin:
-            row, ids, before, n = rest[0]
-            rest[0] = (row, ids[4 * (at - begin) :], before + at - begin, n)
+            row, ids, before, n, own = rest[0]
+            own = own[own > at - begin] - (at - begin)
+            rest[0] = (row, ids[4 * (at - begin) :], before + at - begin, n, own)
         self.docs = rest
-        keep = places > done
-        self.places, self.costs, self.size = [places[keep] - done], [costs[keep]], self.size - done
+        self.size -= done
         return pieces
 
 
@@ -182,21 +187,17 @@ def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer:
             key_type = batch.schema.field(0).type
             for part, texts in runs(batch):
                 for k, text in zip(part.column(0).to_pylist(), texts):
-                    words = ids_of.words(text)
-                    ids = b"".join(words) + end
-                    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words))) >> 2
-                    ends = ends[ids_of.stops[np.frombuffer(ids, "<u4")[ends - 1]]]
+                    ids = b"".join(ids_of.words(text)) + end
                     keys.append(k)
-                    packer.add(len(keys) - 1, ids, *document_places(ends, len(ids) // 4, window))
+                    packer.add(len(keys) - 1, ids, np.flatnonzero(ids_of.stops[np.frombuffer(ids, "<u4")]) + 1)
                     if packer.size >= RUN_TOKENS:
                         yield from told(packer.flush(False), keys, key_type)
                         keys = [keys[r] for r, *_ in packer.docs]
                         packer.docs = [(i, *d[1:]) for i, d in enumerate(packer.docs)]
         yield from told(packer.flush(False), keys, key_type)
         if packer.docs:
-            rows, ids, before, whole = zip(*packer.docs)
+            rows, ids, before, whole, ends = zip(*packer.docs)
             n = len(rows)
-            ends = [np.flatnonzero(ids_of.stops[np.frombuffer(x, "<u4")]) + 1 for x in ids]
             columns = [pa.array([keys[r] for r in rows], key_type), pa.array(before, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([0] * n, pa.int64()), pa.array(whole, pa.int64())]
             yield pa.RecordBatch.from_arrays([*columns, pa.array([first] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.nulls(n, pa.bool_()), pa.array(ids, none[0]), pa.array(ends, none[1])], names)
 
@@ -211,7 +212,7 @@ def pack(docs: DataFrame, key: str = "doc_id", window: int = WINDOW, tokenizer:
                     now, keys = r["group"], []
                     packer = Packer(window, 1 << 62 | now << 33)
                 keys.append(r["k"])
-                packer.add(len(keys) - 1, r["ids"], *document_places(np.array(r["ends"], np.int64), r["length"], window), r["start"])
+                packer.add(len(keys) - 1, r["ids"], np.array(r["ends"], np.int64), r["start"])
         if packer is not None:
             yield from told(packer.flush(True), keys, key_type)
 

@@ -41,7 +41,7 @@ class WordIds:
         chars = [chr(c) for c in (*range(33, 127), *range(0xC0, 0x100)) if chr(c) not in "\xd7\xf7"]
         byte_level = self.whole.pre_tokenizer
         self.alphabet = {ord(c): "".join(p for p, _ in byte_level.pre_tokenize_str(c)) for c in chars if not c.isupper()}
-        #: By id: whether a word that ends with this token ends a sentence.
+        #: By id: whether a sentence may end after this token.
         vocabulary = self.whole.get_vocab(with_added_tokens=True)
         self.stops = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, i in vocabulary.items():

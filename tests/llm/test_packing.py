@@ -100,7 +100,7 @@ def test_runs_join(monkeypatch):
     rng = random.Random(1)
     sizes = [rng.randint(1, 150) for _ in range(40)]
     for i, n in enumerate(sizes):
-        packer.add(i, b"\x01\0\0\0" * n, *packing.document_places(np.zeros(0, np.int64), n, 64))
+        packer.add(i, b"\x01\0\0\0" * n, np.array(sorted(rng.sample(range(1, n + 1), n // 20)), np.int64))
         if packer.size >= 100:
             got += packer.flush(False)
     got += packer.flush(True)
@@ -108,3 +108,11 @@ def test_runs_join(monkeypatch):
         spans = sorted((p[1], p[2]) for p in got if p[0] == i)
         assert sum(x for _, x in spans) == n and [s for s, _ in spans] == [sum(x for _, x in spans[:k]) for k in range(len(spans))]
         assert all(p[4] == n for p in got if p[0] == i)
+
+
+def test_cut_places():
+    places, cost = packing.cut_places(np.array([5, 300, 1000]), np.array([100, 200, 600]), 4096)
+    want = {5: 0, 300: 0, 1000: 0, 100: 2, 200: 2, 600: 2}
+    for a, b in ((5, 100), (100, 200), (200, 300), (300, 600), (600, 1000)):
+        want |= {x: 24 for x in range(a + 64, b, 64)}
+    assert dict(zip(places.tolist(), cost.tolist())) == want and places.tolist() == sorted(want)
