@@ -186,7 +186,7 @@ def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: fl
 
 
 def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: float, size: int) -> DataFrame:
-    """(node, component) for the nodes that have a similar one; kept."""
+    """(node, component) for the nodes that have a similar one; kept, and buckets aren't."""
     edges = _seeds(docs, nodes, similarity, size)
     found = components(edges)
     rows = buckets.count()
@@ -198,7 +198,11 @@ def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: f
         if not left:
             forget(known, lots)
             break
-        open_ = known.join(lots.select("s"), "s", "left_semi")
+        # Buckets that are linked through stay so; the next turn does without them.
+        open_ = keep(known.join(lots.select("s"), "s", "left_semi"))
+        forget(known, lots, buckets)
+        buckets = open_.drop("label")
+        buckets.kept_at = open_.kept_at
         whole = left <= _PAIRS_A_ROW * rows or turn == _ROUNDS
         if whole:
             one = open_.groupBy("s", "label").agg(F.collect_list(F.struct("node", "n")).alias("own"))
@@ -209,12 +213,12 @@ def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: f
             hub = open_.groupBy("s").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "label")).alias("hub"))
             pairs = open_.join(hub, "s").where("label <> hub.label").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), "n", F.col("hub.n").alias("m"))
         pairs = keep(_possible(pairs, nodes, similarity))
-        forget(known, lots, found)
+        forget(found)
         edges = _checked(docs, nodes, pairs, similarity, size, edges)
         found = components(edges)
         if whole:
             break
-    forget(edges)
+    forget(edges, buckets)
     return found
 
 
@@ -243,5 +247,5 @@ def representatives(docs: DataFrame, key: str = "doc_id", similarity: float = SI
     found = _linked(docs, nodes, buckets, similarity, size)
     labelled = nodes.join(found, "node", "left").select("least", F.coalesce("component", "node").alias("component"))
     heads = keep(labelled.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row")))
-    forget(buckets, found, nodes)
+    forget(found, nodes)
     return _numbered(docs).join(heads, "__row", "left_semi").drop("__row")
