@@ -36,7 +36,7 @@ def test_empty_files_are_not_counted(spark, tmp_path):
     assert read_ion(spark, f"{tmp_path}/[0-3]*").columns == ["ion"]
 
 
-@pytest.mark.parametrize("name", ["ion_anti_join", "ion_map_sparse", "ion_exponent_floats_roundtrip_events", "ion_rollup", "ion_window", "ion_write_date_format", "ion_write_timestamp_format", "ion_conflict_json", "ion_join", "ion_conflict_varchar", "ion_max_depth", "ion_text_double_as_decimal", "ion_profile"])
+@pytest.mark.parametrize("name", ["ion_anti_join", "ion_map_sparse", "ion_exponent_floats_roundtrip_events", "ion_rollup", "ion_window", "ion_write_date_format", "ion_write_timestamp_format", "ion_conflict_json", "ion_join", "ion_conflict_varchar", "ion_max_depth", "ion_text_double_as_decimal", "ion_profile", "ion_use_extractor"])
 def test_queries_over_tables_whose_first_split_has_no_rows(spark, tmp_path, monkeypatch, name):
     """A table's splits are cut by bytes, and the first may have no row group's middle."""
     plain = catalog.table
