@@ -18,6 +18,7 @@ pair that is never compared has its ends in one component already, so nothing is
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..cluster import forget, keep, ship_code
+from ..cluster import forget, keep, let_go, ship_code
 from .components import components
 from .simhash import RADIUS, _votes, edges_within, majority, shingle_hashes
 from .words import runs, space_words
@@ -41,6 +42,8 @@ _ROUNDS = 12
 _PARITY = 1024
 #: So many rows are looked up by broadcast, more by a shuffle.
 _BROADCAST_ROWS = 1 << 20
+#: Shingles that are sent at once at least, when sets are compared.
+_SENT = 1 << 22
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
@@ -143,13 +146,23 @@ def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
     return told.where(apart <= F.lit((1 - similarity) / (1 + similarity)) * F.col("both") + F.lit(1e-6)).select("a", "b")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of pairs (a, b) that reach the similarity."""
-    told = pairs.join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("own").alias("y")), "b")
+def _similar(pairs: DataFrame, sets: DataFrame, others: DataFrame, similarity: float, few: bool) -> DataFrame:
+    """Those of pairs (a, b), of a in sets and b in others, that reach the similarity; few
+    pairs are broadcast, so that only the sets of a are sent, to those of b."""
+    told = (F.broadcast(pairs) if few else pairs).join(sets.select(F.col("node").alias("a"), F.col("own").alias("x")), "a")
+    second = others.select(F.col("node").alias("b"), F.col("own").alias("y"))
+    second = second.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi") if few else second
+    told = told.join(second, "b")
     common = F.size(F.array_intersect("x", "y"))
     return told.where(common >= F.lit(similarity) * (F.size("x") + F.size("y") - common) - F.lit(1e-9)).select("a", "b")
 
 
+def _portions(pairs: int, sets: int, shingles: int) -> int:
+    """In how many portions so many pairs are compared, by the key of b: each sends about as
+    many shingles as all the sets have, or _SENT."""
+    return max(1, math.ceil(pairs * shingles / max(sets, 1) / max(shingles, _SENT)))
+
+
 def _read(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """The sets of the wanted nodes, from one document of each; kept."""
     rows = keep(nodes.join(wanted, "node", "left_semi").select(F.col("least.row").alias("__row")))
@@ -179,9 +192,18 @@ def _checked(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, similarity: fl
     """Edges and those of pairs that are similar, kept instead of both."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     sets = _read(docs, nodes, wanted, size)
-    found = _similar(pairs, sets, similarity)
-    out = keep(found if edges is None else edges.unionByName(found))
-    forget(sets, pairs, *([] if edges is None else [edges]))
+    n, held = pairs.count(), sets.agg(F.count(F.lit(1)), F.sum(F.size("own"))).first()
+    portions = _portions(n, held[0], held[1] or 0)
+    found = [] if edges is None else [edges]
+    for i in range(portions):
+
+        def own(df: DataFrame, node: str) -> DataFrame:
+            return df if portions == 1 else df.where(F.pmod(F.xxhash64(node), F.lit(portions)) == i)
+
+        found.append(keep(_similar(own(pairs, "b"), sets, own(sets, "node"), similarity, n <= portions * _BROADCAST_ROWS)))
+        let_go(docs.sparkSession)
+    out = keep(reduce(DataFrame.unionByName, found))
+    forget(sets, pairs, *found)
     return out
 
 

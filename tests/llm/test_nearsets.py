@@ -62,3 +62,19 @@ def test_stars_then_pairs_equal_brute_force(spark, monkeypatch, tmp_path):
         monkeypatch.setattr(nearsets, "_ROUNDS", rounds)
         assert {r.doc_id for r in nearsets.representatives(table).collect()} == want
     assert nearsets.representatives(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_portions_equal_the_whole(spark, monkeypatch, tmp_path):
+    """Sets are compared in portions once the pairs send more than the sets hold."""
+    texts = near_copies(random.Random(5), 30)
+    docs(spark, texts).write.parquet(f"{tmp_path}/d")
+    table = spark.read.parquet(f"{tmp_path}/d")
+    want = {i for i, x in enumerate(closure(texts)) if i == x}
+    asked = []
+    real = nearsets._portions
+    monkeypatch.setattr(nearsets, "_portions", lambda *a: asked.append(real(*a)) or max(3, asked[-1]))
+    for rows in (nearsets._BROADCAST_ROWS, 0):
+        monkeypatch.setattr(nearsets, "_BROADCAST_ROWS", rows)
+        assert {r.doc_id for r in nearsets.representatives(table).collect()} == want
+    assert set(asked) == {1}
+    assert real(100, 10, 1 << 23) == 10 and real(0, 0, 0) == 1 and real(40, 10, 1 << 20) == 1
