@@ -3,15 +3,20 @@
 Kiveris et al., "Connected components in MapReduce and beyond" (2014). Each round takes a
 minimum for each node (combined before the shuffle) and joins it back, so a hub's edges can
 be split like any skewed join. Each round is written to the shared folder, and the one
-before it deleted.
+before it deleted. A table of few edges is solved in one task, without rounds.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..cluster import forget, keep
+from ..cluster import forget, keep, ship_code
+
+#: Edges that one task takes, 16 MB of them.
+FEW = 1 << 20
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,6 +27,10 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now = keep(_clean(edges))
     mark = _mark(now)
+    if mark[0] <= FEW:
+        found = keep(_solved(now))
+        forget(now)
+        return found
     while mark[0]:
         before, now = now, keep(_small_star(_large_star(now)))
         after = _mark(now)
@@ -35,6 +44,35 @@ def components(edges: DataFrame) -> DataFrame:
     return found
 
 
+def _labels(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of edges, sorted, and the smallest that each can reach."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while len(a):
+        x, y = root[a], root[b]
+        live = x != y
+        a, b, x, y = a[live], b[live], x[live], y[live]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+    return nodes, nodes[root]
+
+
+def _solved(edges: DataFrame) -> DataFrame:
+    """(node, component) of few edges, in one task."""
+    ship_code(edges.sparkSession)
+
+    def run(batches):
+        held = [(b.column(0).to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)) for b in batches]
+        held = [(a, b) for a, b in held if len(a)]
+        if held:
+            nodes, component = _labels(*map(np.concatenate, zip(*held)))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(component)], ["node", "component"])
+
+    return edges.coalesce(1).mapInArrow(run, "node long, component long")
+
+
 def _clean(edges: DataFrame) -> DataFrame:
     """Edges once each, the larger end first."""
     return edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()

@@ -5,7 +5,10 @@ first, and what they propose is compared exactly. But no radius of 64-bit finger
 proposes every pair of similarity 0.8: such pairs lie about 10 bits apart, some over 15,
 where unrelated ones begin. The rest is therefore proposed by a prefix filter, which loses
 none: of n shingles, in one order for all documents, the first
-n - ceil(t n) + 1 must share one with any set of similarity t. The order is by counts over
+n - ceil(t n) + 1 must share one with any set of similarity t. Of two such sets the smaller
+has the first shingle that they share among its first n - ceil(2 t n / (1 + t)) + 1, as what
+follows has to hold the rest; those after are marked by a negative n, and a bucket's pair
+only counts if its smaller set isn't so marked there. The order is by counts over
 cells of shingles, rare ones first; any order is right, this one makes few pairs. Of two sets
 the parities of 1,024 cells differ in no more cells than the sets differ in shingles, so
 that many pairs fall without their sets being read; the rest is compared exactly. Documents with equal sets are one node from the start.
@@ -98,7 +101,8 @@ def _told(docs: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, size: int, similarity: float, weights) -> DataFrame:
-    """(s, node, n): the prefix of each document's set of n shingles."""
+    """(s, node, n): the prefix of each document's set of n shingles; n is negative where
+    only a smaller set can share its first shingle with this one."""
 
     def run(batches):
         held, done = weights.value, set()
@@ -115,7 +119,8 @@ def _prefixes(docs: DataFrame, size: int, similarity: float, weights) -> DataFra
                     n = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1
                     shingles.append(own[np.argsort(w, kind="stable")[:n]])
                     nodes += [node] * n
-                    sizes += [len(own)] * n
+                    inner = len(own) - math.ceil(2 * similarity / (1 + similarity) * len(own) - 1e-9) + 1
+                    sizes += [len(own)] * inner + [-len(own)] * (n - inner)
                 if nodes:
                     yield pa.RecordBatch.from_arrays([_signed(np.concatenate(shingles)), _signed(nodes), pa.array(sizes, pa.int64())], ["s", "node", "n"])
 
@@ -137,10 +142,10 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Those of pairs (a, n, b, m, either way round and more than once) that the lengths and
-    parities allow to reach the similarity."""
+    """Those of pairs (a, n, b, m, either way round and more than once) that the lengths, the
+    marks and the parities allow to reach the similarity."""
     first = F.col("a") > F.col("b")
-    once = pairs.where(_near(similarity)).select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.least("a", "b").alias("b"), (F.col("n") + F.col("m")).alias("both")).distinct()
+    once = pairs.where(_near(similarity)).select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.least("a", "b").alias("b"), (F.abs("n") + F.abs("m")).alias("both")).distinct()
     told = once.join(nodes.select(F.col("node").alias("a"), F.col("bits").alias("x")), "a").join(nodes.select(F.col("node").alias("b"), F.col("bits").alias("y")), "b")
     apart = sum((F.bit_count(F.col("x")[i].bitwiseXOR(F.col("y")[i])) for i in range(_PARITY // 64)), F.lit(0))
     return told.where(apart <= F.lit((1 - similarity) / (1 + similarity)) * F.col("both") + F.lit(1e-6)).select("a", "b")
@@ -173,7 +178,10 @@ def _read(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, size: int) -> Da
 
 
 def _near(similarity: float):
-    return F.least("n", "m") >= F.lit(similarity) * F.greatest("n", "m") - F.lit(1e-9)
+    """Whether sets of n and m shingles can be similar by a bucket's shingle; see `_prefixes`."""
+    n, m = F.abs("n"), F.abs("m")
+    alike = F.least(n, m) >= F.lit(similarity) * F.greatest(n, m) - F.lit(1e-9)
+    return alike & F.when(n < m, F.col("n") > 0).when(n > m, F.col("m") > 0).otherwise((F.col("n") > 0) & (F.col("m") > 0))
 
 
 def _seeds(docs: DataFrame, nodes: DataFrame, similarity: float, size: int) -> DataFrame:
@@ -214,8 +222,9 @@ def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: f
     rows = buckets.count()
     for turn in range(_ROUNDS + 1):
         known = keep(buckets.join(found, "node", "left").select("s", "node", "n", F.coalesce("component", "node").alias("label")))
-        many = known.groupBy("s", "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
-        lots = keep(many.groupBy("s").agg(((F.sum("c") ** 2 - F.sum(F.col("c") ** 2)) / 2).alias("open")).where("open > 0"))
+        many = known.groupBy("s", "label").agg(F.count(F.lit(1)).cast("double").alias("c"), F.sum((F.col("n") < 0).cast("double")).alias("p"))
+        pairs_of = lambda c: (F.sum(c) ** 2 - F.sum(F.col(c) ** 2)) / 2
+        lots = keep(many.groupBy("s").agg((pairs_of("c") - pairs_of("p")).alias("open")).where("open > 0"))
         left = lots.agg(F.sum("open")).first()[0] or 0
         if not left:
             forget(known, lots)
@@ -263,8 +272,8 @@ def representatives(docs: DataFrame, key: str = "doc_id", similarity: float = SI
 
     own = Window.partitionBy("s")
     prefixes = _prefixes(docs, size, similarity, spark.sparkContext.broadcast(weights))
-    marked = prefixes.withColumn("before", F.lag("node").over(own.orderBy("node"))).withColumn("low", F.min("node").over(own)).withColumn("high", F.max("node").over(own))
-    buckets = keep(marked.where("low <> high and (before is null or before <> node)").select("s", "node", "n"))
+    marked = prefixes.withColumn("before", F.lag("node").over(own.orderBy("node"))).withColumn("low", F.min("node").over(own)).withColumn("high", F.max("node").over(own)).withColumn("most", F.max("n").over(own))
+    buckets = keep(marked.where("low <> high and most > 0 and (before is null or before <> node)").select("s", "node", "n"))
     forget(told)
     found = _linked(docs, nodes, buckets, similarity, size)
     labelled = nodes.join(found, "node", "left").select("least", F.coalesce("component", "node").alias("component"))

@@ -1,7 +1,8 @@
 import random
 
 import corpus_pipeline
-from grainstone.llm import nearsets, simhash
+import numpy as np
+from grainstone.llm import components, nearsets, simhash
 
 from .fixtures import DOCS, docs
 
@@ -78,3 +79,29 @@ def test_portions_equal_the_whole(spark, monkeypatch, tmp_path):
         assert {r.doc_id for r in nearsets.representatives(table).collect()} == want
     assert set(asked) == {1}
     assert real(100, 10, 1 << 23) == 10 and real(0, 0, 0) == 1 and real(40, 10, 1 << 20) == 1
+
+
+def test_a_pair_counts_only_by_the_smaller_sets_first_shingles(spark):
+    """Of ten shingles two can be the first shared one with a larger set, three with a smaller."""
+    text = " ".join(f"w{i}" for i in range(14))
+    rows = nearsets._prefixes(spark.createDataFrame([(text,)], "text string"), 5, 0.8, spark.sparkContext.broadcast(np.zeros(1 << nearsets._CELL_BITS)))
+    assert [r.n for r in rows.collect()] == [10, 10, -10]
+    pairs = spark.createDataFrame([(10, 10), (10, -10), (-10, 10), (10, -11), (-10, 11), (11, -10), (-11, 10), (-10, -11), (10, 13)], "n long, m long")
+    got = [tuple(r) for r in pairs.where(nearsets._near(0.8)).collect()]
+    assert got == [(10, 10), (10, -11), (-11, 10)]
+
+
+def test_few_edges_are_solved_without_rounds(spark, monkeypatch):
+    """The same components as by stars, of chains, loops, repeated edges and nulls."""
+    rng = random.Random(6)
+    edges = [(i, i + 1) for i in range(40)] + [(100, 100), (7, 3), (3, 7), (None, 5), (5, None)]
+    edges += [(rng.randrange(1000, 1400), rng.randrange(1000, 1400)) for _ in range(250)]
+    table = spark.createDataFrame(edges, "a long, b long")
+    asked = []
+    star = components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda e: asked.append(1) or star(e))
+    few = {tuple(r) for r in components.components(table).collect()}
+    assert not asked and len({n for n, _ in few}) == len(few)
+    assert components.components(table.limit(0)).count() == 0
+    monkeypatch.setattr(components, "FEW", 0)
+    assert {tuple(r) for r in components.components(table).collect()} == few and asked
