@@ -14,7 +14,7 @@ the parities of 1,024 cells differ in no more cells than the sets differ in shin
 that many pairs fall without their sets being read; the rest is compared exactly. Documents with equal sets are one node from the start.
 
 Buckets of a shared shingle are linked by stars around a changing hub as long as there are
-many pairs in them that aren't linked yet; then all the pairs that are left are compared. Any
+many pairs in them that aren't linked yet and a turn still links many; then all the pairs that are left are compared. Any
 pair that is never compared has its ends in one component already, so nothing is lost.
 """
 
@@ -42,6 +42,8 @@ _CELL_BITS = 18
 #: All unlinked pairs are compared once they are at most so many for each row of a bucket.
 _PAIRS_A_ROW = 4
 _ROUNDS = 12
+#: A turn that leaves more than this share of the pairs unlinked is the last of stars.
+_STALLED = 0.75
 _PARITY = 1024
 #: So many rows are looked up by broadcast, more by a shuffle.
 _BROADCAST_ROWS = 1 << 20
@@ -219,7 +221,7 @@ def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: f
     """(node, component) for the nodes that have a similar one; kept, and buckets aren't."""
     edges = _seeds(docs, nodes, similarity, size)
     found = components(edges)
-    rows = buckets.count()
+    rows, before = buckets.count(), math.inf
     for turn in range(_ROUNDS + 1):
         known = keep(buckets.join(found, "node", "left").select("s", "node", "n", F.coalesce("component", "node").alias("label")))
         many = known.groupBy("s", "label").agg(F.count(F.lit(1)).cast("double").alias("c"), F.sum((F.col("n") < 0).cast("double")).alias("p"))
@@ -234,7 +236,9 @@ def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: f
         forget(known, lots, buckets)
         buckets = open_.drop("label")
         buckets.kept_at = open_.kept_at
-        whole = left <= _PAIRS_A_ROW * rows or turn == _ROUNDS
+        # Where a turn has linked little, what is left aren't near copies, and no hub helps.
+        whole = left <= _PAIRS_A_ROW * rows or left > _STALLED * before or turn == _ROUNDS
+        before = left
         if whole:
             one = open_.groupBy("s", "label").agg(F.collect_list(F.struct("node", "n")).alias("own"))
             two = one.select("s", F.col("label").alias("other"), F.col("own").alias("theirs"))

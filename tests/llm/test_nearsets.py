@@ -105,3 +105,17 @@ def test_few_edges_are_solved_without_rounds(spark, monkeypatch):
     assert components.components(table.limit(0)).count() == 0
     monkeypatch.setattr(components, "FEW", 0)
     assert {tuple(r) for r in components.components(table).collect()} == few and asked
+
+
+def test_stars_end_when_they_link_nothing(spark, monkeypatch, tmp_path):
+    """Texts that share a bucket, but too few shingles, aren't taken through all turns."""
+    shared = " ".join(f"s{i}" for i in range(40))
+    texts = [f"{shared} " + " ".join(f"u{i}x{j}" for j in range(4 + 4 * (i % 2))) for i in range(20)]
+    docs(spark, texts).write.parquet(f"{tmp_path}/d")
+    monkeypatch.setattr(nearsets, "_PAIRS_A_ROW", 0)
+    turns = []
+    real = nearsets._possible
+    monkeypatch.setattr(nearsets, "_possible", lambda *a: turns.append(1) or real(*a))
+    want = {i for i, x in enumerate(closure(texts)) if i == x}
+    assert {r.doc_id for r in nearsets.representatives(spark.read.parquet(f"{tmp_path}/d")).collect()} == want
+    assert len(want) == 11 and 0 < len(turns) <= 3
