@@ -24,6 +24,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -131,7 +132,7 @@ class Network:
             grads["cls"], grads["cls_b"] = states.T @ d, d.sum(0)
             back = d @ self.cls.T
             grads["out"], grads["out_b"] = np.zeros_like(self.out), np.zeros_like(self.out_b)
-        order = np.argsort(own, kind="stable")
+        order = np.argsort(own.astype(np.uint8), kind="stable")  # small numbers are sorted by radix
         bounds = np.searchsorted(own[order], np.arange(CLASSES + 1))
         for c in range(CLASSES):
             at = order[bounds[c] : bounds[c + 1]]
@@ -167,25 +168,29 @@ class Network:
         states, last, memory = self.steps(inputs, h, live, keep=True)
         grads: dict[str, np.ndarray] = {}
         logs, own = self.log_probs(states[mask], targets[mask], grads)
-        back = np.zeros((T, B, H), states.dtype)
-        back[mask] = own
-        dp = np.zeros((T, B, 3 * H), states.dtype)
-        grads["u"] = np.zeros_like(self.u)
+        # Rows of all steps one after another, as in states[mask]; what a step's gradient is
+        # multiplied by is known for all of them before the first.
+        a, z, r, n, hn = (np.concatenate(x) for x in zip(*memory))
+        rest = 1 - z
+        by_n = rest * (1 - n * n)
+        factors = np.stack([(a - n) * z * rest, by_n * hn * r * (1 - r), by_n * r], 1)
+        ends = np.cumsum([0, *live])
+        ds, dh = own, np.empty_like(factors)
         carry = np.zeros_like(h)
         for t in reversed(range(T)):
-            a, z, r, n, hn = memory[t]
-            k = live[t]
-            d = back[t, :k] + carry[:k]
-            dn = d * (1 - z) * (1 - n * n)
-            dp[t, :k, :H] = d * (a - n) * z * (1 - z)
-            dp[t, :k, H : 2 * H] = dn * hn * r * (1 - r)
-            dp[t, :k, 2 * H :] = dn
-            dh = np.concatenate([dp[t, :k, : 2 * H], dn * r], 1)
-            grads["u"] += a.T @ dh
-            carry[:k] = d * z + dh @ self.u.T
-        flat, ids = dp[mask], inputs[mask]
+            k, at = live[t], slice(ends[t], ends[t + 1])
+            d = ds[at]
+            d += carry[:k]
+            part = np.multiply(factors[at], d[:, None], out=dh[at])
+            step = part.reshape(k, 3 * H) @ self.u.T
+            step += d * z[at]
+            carry[:k] = step
+        dh = dh.reshape(-1, 3 * H)
+        grads["u"] = a.T @ dh
+        flat = np.concatenate([dh[:, : 2 * H], ds * by_n], 1)
+        ids = inputs[mask]
         grads["b"] = flat.sum(0)
-        order = np.argsort(ids, kind="stable")
+        order = np.argsort(ids.astype(np.int16), kind="stable")
         first = np.flatnonzero(np.diff(ids[order], prepend=-1))
         grads["x"] = np.zeros_like(self.x)
         grads["x"][ids[order][first]] = np.add.reduceat(flat[order], first, axis=0)
@@ -257,8 +262,7 @@ class Lexicon:
     other_types: int
 
     def encode(self, words: list[bytes]) -> np.ndarray:
-        get, other = self.ids.get, self.other
-        ids = np.fromiter((get(w, other) for w in words), np.int64, len(words))
+        ids = np.fromiter(map(self.ids.get, words, repeat(self.other)), np.int64, len(words))
         return np.append(ids, self.end)
 
 
@@ -400,22 +404,26 @@ def score(docs: DataFrame, key: str = "doc_id", mod: int = 7, out: int = 2) -> D
     def run(batches):
         lexi, model = held.value, Network.from_bytes(data.value)
         part, n = TaskContext.get().partitionId() << 33, 0
-        # by vocabulary id: log10(c + 1) of frequent words
-        logs = {w: math.log10(c + 1) for w, c in lexi.counts.items()}
-        get, count, known_ids = logs.get, lexi.counts, lexi.ids
+        # By place among the frequent words, of which the last stands for all rare ones:
+        # log10(c + 1), the vocabulary id, and the log again where that is the one of others.
+        place = {w: i for i, w in enumerate(lexi.counts)}
+        rare_at = len(place)
+        logs = np.array([*(math.log10(c + 1) for c in lexi.counts.values()), 0.0])
+        ids = np.array([*(lexi.ids.get(w, lexi.other) for w in lexi.counts), lexi.other])
+        outer = np.where(ids == lexi.other, logs, 0.0)
         end_log = math.log10(frequencies(lexi)[lexi.end] + 1)
         for batch in batches:
             for own, texts in runs(batch, most=SCORE_BYTES):
                 encoded, sizes, frequent, others, known, rare = [], [], [], [], [], []
                 for t in texts:
                     words = space_words(t)
-                    encoded.append(lexi.encode(words))
+                    at = np.fromiter(map(place.get, words, repeat(rare_at)), np.int64, len(words))
+                    own_ids = ids[at]
+                    encoded.append(np.append(own_ids, lexi.end))
                     sizes.append(len(words) + 1)
-                    f = [get(w) for w in words]
-                    missed = [w for w, v in zip(words, f) if v is None]
-                    outside = [v for w, v in zip(words, f) if v is not None and w not in known_ids]
-                    frequent.append(math.fsum(v for v in f if v is not None) + end_log)
-                    others.append((math.fsum(outside), len(outside) + len(missed)))
+                    missed = [words[i] for i in np.flatnonzero(at == rare_at).tolist()]
+                    frequent.append(float(logs[at].sum()) + end_log)
+                    others.append((float(outer[at].sum()), int((own_ids == lexi.other).sum())))
                     known.append(len(words) - len(missed))
                     rare.append(missed)
                 s = model.score(encoded, lexi.end)
