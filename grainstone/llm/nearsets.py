@@ -3,8 +3,13 @@
 SimHash fingerprints of the shingles and the vantage-point shards of `simhash` propose pairs
 first, and what they propose is compared exactly. But no radius of 64-bit fingerprints
 proposes every pair of similarity 0.8: such pairs lie about 10 bits apart, some over 15,
-where unrelated ones begin. The rest is therefore proposed by a prefix filter, which loses
-none: of n shingles, in one order for all documents, the first
+where unrelated ones begin. The rest is therefore proposed by two filters that lose none.
+Pairs of sets of over _SHORT shingles are proposed by parts: sets of n and m shingles differ
+in k = (1 - t) / (1 + t) (n + m) at most, so of more than k parts, into which shingles fall by
+their hash, one at least is the same in both. A part's key is the sum of its hashes, some
+three or four of them, so unrelated sets that share a passage or a frequent shingle seldom
+have a key in common, and keys grow with the input. Any other pair is proposed by a
+prefix filter: of n shingles, in one order for all documents, the first
 n - ceil(t n) + 1 must share one with any set of similarity t. Of two such sets the smaller
 has the first shingle that they share among its first n - ceil(2 t n / (1 + t)) + 1, as what
 follows has to hold the rest; those after are marked by a negative n, and a bucket's pair
@@ -13,14 +18,17 @@ cells of shingles, rare ones first; any order is right, this one makes few pairs
 the parities of 1,024 cells differ in no more cells than the sets differ in shingles, so
 that many pairs fall without their sets being read; the rest is compared exactly. Documents with equal sets are one node from the start.
 
-Buckets of a shared shingle are linked by stars around a changing hub as long as there are
-many pairs in them that aren't linked yet and a turn still links many; then all the pairs that are left are compared. Any
+Buckets of a shared key are linked by stars around a changing hub as long as there are
+many pairs in them that aren't linked yet and a turn still links many; then all the pairs
+that are left are compared, within a bucket by arrays of parities, so that only pairs that
+pass become rows. Large buckets are cut into blocks, each two of which are a bucket of their own. Any
 pair that is never compared has its ends in one component already, so nothing is lost.
 """
 
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from functools import reduce
 
 import numpy as np
@@ -39,12 +47,17 @@ SHINGLE = 5
 SIMILARITY = 0.8
 #: Cells in which shingles are counted for their order.
 _CELL_BITS = 18
+#: Pairs with a set of so many shingles or fewer are found by prefixes, others by parts.
+_SHORT = 16
 #: All unlinked pairs are compared once they are at most so many for each row of a bucket.
-_PAIRS_A_ROW = 4
+_PAIRS_A_ROW = 0.25
 _ROUNDS = 12
 #: A turn that leaves more than this share of the pairs unlinked is the last of stars.
 _STALLED = 0.75
 _PARITY = 1024
+#: Rows of a bucket that are compared in one place, and pairs that are at once.
+_BLOCK = 4096
+_AT_ONCE = 1 << 16
 #: So many rows are looked up by broadcast, more by a shuffle.
 _BROADCAST_ROWS = 1 << 20
 #: Shingles that are sent at once at least, when sets are compared.
@@ -75,8 +88,64 @@ def _cells(own: np.ndarray) -> np.ndarray:
     return (own >> np.uint64(64 - _CELL_BITS)).astype(np.int64)
 
 
-def _told(docs: DataFrame, key: str, size: int) -> DataFrame:
-    """(k, row, node, fp, bits) for each row of docs, and `counts` of the cells for each task."""
+def _differing(n: int, m: int, similarity: float) -> int:
+    """In how many shingles sets of n and m can differ."""
+    return math.floor((1 - similarity) / (1 + similarity) * (n + m) + 1e-9)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+class Parts:
+    """Keys of sets of over _SHORT shingles, of which two of the similarity share one at least.
+
+    Sizes fall into classes whose ends lie within the similarity, so a set meets those of its
+    own class and of the next. In a class all sets are cut into as many parts, more than two
+    can differ in. Each gives its first k + 1 parts with shingles, where it differs from no
+    other in more than k: before the first of both sets has given its last, k parts at most
+    of these differ, so one is given by both. A set with fewer gives those of its first k + 1
+    parts that are empty as well, so the same holds for two of this kind.
+    """
+
+    def __init__(self, similarity: float):
+        self.similarity = similarity
+        self.ends = [_SHORT]
+
+    def _class(self, n: int) -> int:
+        while self.ends[-1] < n:
+            self.ends.append(math.floor((self.ends[-1] + 1) / self.similarity + 1e-9))
+        return bisect_left(self.ends, n)
+
+    def keys(self, own: np.ndarray) -> np.ndarray:
+        n = len(own)
+        if n <= _SHORT:
+            return own[:0]
+        largest = math.floor(n / self.similarity + 1e-9)
+        first, last = self._class(n), self._class(largest)
+        return np.concatenate([self._of(own, c, _differing(n, min(largest, self.ends[c]), self.similarity)) for c in range(first, last + 1)])
+
+    def _of(self, own: np.ndarray, c: int, k: int) -> np.ndarray:
+        most = _differing(self.ends[c], self.ends[c], self.similarity)
+        hashes = _mixed(own + np.uint64(c + 1))
+        # A few parts more than have to be, as some are empty.
+        parts = ((hashes >> np.uint64(32)) * np.uint64(most + 2 + most // 32) >> np.uint64(32)).astype(np.int64)
+        order = np.argsort(parts)
+        starts = np.flatnonzero(np.diff(parts[order], prepend=-1))
+        sums, parts = np.add.reduceat(_mixed(hashes[order]), starts), parts[order][starts]
+        if len(parts) <= k:
+            empty = np.setdiff1d(np.arange(k + 1), parts)
+            sums, parts = np.concatenate([sums, np.zeros(len(empty), np.uint64)]), np.concatenate([parts, empty])
+        else:
+            sums, parts = sums[: k + 1], parts[: k + 1]
+        return _mixed(sums + _mixed(parts.astype(np.uint64) + np.uint64((c + 1) << 32)))
+
+
+def _told(docs: DataFrame, key: str, size: int, similarity: float) -> DataFrame:
+    """(k, row, node, fp, bits) for each row of docs, and `counts` of the cells for each task,
+    in sets that have prefixes."""
     kind = dict(docs.dtypes)[key]
     names = ["k", "row", "node", "fp", "bits", "counts"]
 
@@ -88,7 +157,9 @@ def _told(docs: DataFrame, key: str, size: int) -> DataFrame:
             k = batch.column(0).type
             for rows, texts in runs(batch):
                 sets = [shingle_set(t, size) for t in texts]
-                total += np.bincount(_cells(np.concatenate(sets)), minlength=len(total))
+                few = [s for s in sets if len(s) <= _SHORT / similarity + 1e-9]
+                if few:
+                    total += np.bincount(_cells(np.concatenate(few)), minlength=len(total))
                 bits = np.stack([np.packbits(np.bincount((s & np.uint64(_PARITY - 1)).astype(np.int64), minlength=_PARITY) & 1).view(np.int64) for s in sets])
                 ends = np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -103,11 +174,12 @@ def _told(docs: DataFrame, key: str, size: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, size: int, similarity: float, weights) -> DataFrame:
-    """(s, node, n): the prefix of each document's set of n shingles; n is negative where
-    only a smaller set can share its first shingle with this one."""
+    """(s, node, n): the keys of each document's set of n shingles, the prefix of a short one
+    and those by parts; of a prefix, n is negative where only a smaller set can share its first
+    shingle with this one."""
 
     def run(batches):
-        held, done = weights.value, set()
+        held, done, parts = weights.value, set(), Parts(similarity)
         for batch in batches:
             for _, texts in runs(batch):
                 shingles, nodes, sizes = [], [], []
@@ -117,6 +189,12 @@ def _prefixes(docs: DataFrame, size: int, similarity: float, weights) -> DataFra
                     if node in done or not len(own):
                         continue
                     done.add(node)
+                    keys = parts.keys(own)
+                    shingles.append(keys)
+                    nodes += [node] * len(keys)
+                    sizes += [len(own)] * len(keys)
+                    if len(own) > _SHORT / similarity + 1e-9:
+                        continue
                     w = held[_cells(own)]
                     n = len(own) - math.ceil(similarity * len(own) - 1e-9) + 1
                     shingles.append(own[np.argsort(w, kind="stable")[:n]])
@@ -153,6 +231,87 @@ def _possible(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFram
     return told.where(apart <= F.lit((1 - similarity) / (1 + similarity)) * F.col("both") + F.lit(1e-6)).select("a", "b")
 
 
+def _within(buckets: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket (s, node, n, label, rows) and two labels that the
+    lengths, the marks and the parities allow to reach the similarity; once each."""
+    blocks = F.ceil(F.col("rows") / _BLOCK).cast("int")
+    placed = buckets.join(nodes.select("node", "bits"), "node").withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    placed = placed.select("s", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "node", "n", "label", "bits")
+    places = ["s", "low", "high"]
+
+    def run(batches):
+        for rows in _whole(batches, places):
+            own, node, n, label = (rows.column(c).to_numpy(zero_copy_only=False) for c in ("own", "node", "n", "label"))
+            low, high = (rows.column(c).to_numpy(zero_copy_only=False) for c in places[1:])
+            bits = rows.column("bits").flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(n), -1)
+            size, plain = np.abs(n), n > 0
+            for x, y in _pairs(_starts(rows, places), own, low, high):
+                both = size[x] + size[y]
+                keep = (label[x] != label[y]) & (np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y]) - 1e-9)
+                keep &= np.where(size[x] <= size[y], plain[x], True) & np.where(size[x] >= size[y], plain[y], True)
+                x, y, both = x[keep], y[keep], both[keep]
+                apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+                keep = apart <= (1 - similarity) / (1 + similarity) * both + 1e-6
+                ends = np.stack([node[x[keep]], node[y[keep]]], 1)
+                ends = np.unique(np.sort(ends, 1), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[:, 1]), pa.array(ends[:, 0])], ["a", "b"])
+
+    return placed.repartition(*places).sortWithinPartitions(*places).mapInArrow(run, "a long, b long").distinct()
+
+
+def _starts(rows: pa.RecordBatch, places: list[str]) -> np.ndarray:
+    """Where rows with other places than those before begin, and the end."""
+    new = np.ones(rows.num_rows + 1, bool)
+    if rows.num_rows:
+        new[1:-1] = np.any([np.diff(rows.column(c).to_numpy(zero_copy_only=False)) != 0 for c in places], axis=0)
+    return np.flatnonzero(new)
+
+
+def _whole(batches, places: list[str]):
+    """The rows of batches, sorted by places, in batches that hold all of a place."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        starts = _starts(batch, places)
+        if not batch.num_rows:
+            continue
+        same = held and all(held[-1].column(c)[-1] == batch.column(c)[0] for c in places)
+        ready = starts[1] if same else 0  # rows that go on with what is held
+        if held and ready < batch.num_rows:
+            yield pa.concat_batches([*held, batch.slice(0, ready)])
+            batch, held = batch.slice(ready), []
+            starts = starts[starts >= ready] - ready
+        if len(starts) > 2:
+            yield pa.concat_batches([*held, batch.slice(0, starts[-2])])
+            batch, held = batch.slice(starts[-2]), []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _pairs(starts: np.ndarray, own: np.ndarray, low: np.ndarray, high: np.ndarray):
+    """All pairs of rows of a place, in arrays of about _AT_ONCE: of a block's own rows, or of
+    the rows of two blocks."""
+    xs, ys, n = [], [], 0
+    for i, j in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        if j - i == 2 and low[i] == high[i]:
+            parts = [(np.array([i]), np.array([i + 1]))]
+        elif low[i] == high[i]:
+            parts = [(np.array([k]), np.arange(k + 1, j)) for k in range(i, j - 1)]
+        else:
+            second = i + np.flatnonzero(own[i:j] == high[i])
+            parts = [(np.array([k]), second) for k in (i + np.flatnonzero(own[i:j] == low[i])).tolist()]
+        for x, y in parts:
+            xs.append(np.broadcast_to(x, y.shape))
+            ys.append(y)
+            n += len(y)
+            if n >= _AT_ONCE:
+                yield np.concatenate(xs), np.concatenate(ys)
+                xs, ys, n = [], [], 0
+    if n:
+        yield np.concatenate(xs), np.concatenate(ys)
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, others: DataFrame, similarity: float, few: bool) -> DataFrame:
     """Those of pairs (a, b), of a in sets and b in others, that reach the similarity; few
     pairs are broadcast, so that only the sets of a are sent, to those of b."""
@@ -226,28 +385,25 @@ def _linked(docs: DataFrame, nodes: DataFrame, buckets: DataFrame, similarity: f
         known = keep(buckets.join(found, "node", "left").select("s", "node", "n", F.coalesce("component", "node").alias("label")))
         many = known.groupBy("s", "label").agg(F.count(F.lit(1)).cast("double").alias("c"), F.sum((F.col("n") < 0).cast("double")).alias("p"))
         pairs_of = lambda c: (F.sum(c) ** 2 - F.sum(F.col(c) ** 2)) / 2
-        lots = keep(many.groupBy("s").agg((pairs_of("c") - pairs_of("p")).alias("open")).where("open > 0"))
+        lots = keep(many.groupBy("s").agg((pairs_of("c") - pairs_of("p")).alias("open"), F.sum("c").alias("rows")).where("open > 0"))
         left = lots.agg(F.sum("open")).first()[0] or 0
         if not left:
             forget(known, lots)
             break
         # Buckets that are linked through stay so; the next turn does without them.
-        open_ = keep(known.join(lots.select("s"), "s", "left_semi"))
+        open_ = keep(known.join(lots.select("s", "rows"), "s"))
         forget(known, lots, buckets)
-        buckets = open_.drop("label")
+        buckets = open_.select("s", "node", "n")
         buckets.kept_at = open_.kept_at
         # Where a turn has linked little, what is left aren't near copies, and no hub helps.
         whole = left <= _PAIRS_A_ROW * rows or left > _STALLED * before or turn == _ROUNDS
         before = left
         if whole:
-            one = open_.groupBy("s", "label").agg(F.collect_list(F.struct("node", "n")).alias("own"))
-            two = one.select("s", F.col("label").alias("other"), F.col("own").alias("theirs"))
-            pairs = one.join(two, "s").where("label < other").select(F.explode("own").alias("p"), "theirs").select("p", F.explode("theirs").alias("q"))
-            pairs = pairs.select(F.col("p.node").alias("a"), F.col("q.node").alias("b"), F.col("p.n").alias("n"), F.col("q.n").alias("m"))
+            pairs = keep(_within(open_, nodes, similarity))
         else:
             hub = open_.groupBy("s").agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "label")).alias("hub"))
             pairs = open_.join(hub, "s").where("label <> hub.label").select(F.col("node").alias("a"), F.col("hub.node").alias("b"), "n", F.col("hub.n").alias("m"))
-        pairs = keep(_possible(pairs, nodes, similarity))
+            pairs = keep(_possible(pairs, nodes, similarity))
         forget(found)
         edges = _checked(docs, nodes, pairs, similarity, size, edges)
         found = components(edges)
@@ -267,7 +423,7 @@ def representatives(docs: DataFrame, key: str = "doc_id", similarity: float = SI
     """
     spark = docs.sparkSession
     ship_code(spark)
-    told = keep(_told(docs, key, size))
+    told = keep(_told(docs, key, size, similarity))
     weights = np.zeros(1 << _CELL_BITS, np.int64)
     counts = told.where("counts is not null").select(F.posexplode("counts").alias("cell", "n")).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     weights[counts["cell"].to_numpy()] = counts["n"].to_numpy()

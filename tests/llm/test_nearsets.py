@@ -119,3 +119,58 @@ def test_stars_end_when_they_link_nothing(spark, monkeypatch, tmp_path):
     want = {i for i, x in enumerate(closure(texts)) if i == x}
     assert {r.doc_id for r in nearsets.representatives(spark.read.parquet(f"{tmp_path}/d")).collect()} == want
     assert len(want) == 11 and 0 < len(turns) <= 3
+
+
+def test_similar_sets_share_a_key_by_parts():
+    """The furthest that sets of the similarity lie apart; unrelated ones with a passage in
+    common share few keys, where prefixes would share the passage."""
+    rng = np.random.default_rng(7)
+    parts = nearsets.Parts(0.8)
+    fresh = lambda n: np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+    for n in [*range(17, 60), *(int(rng.integers(60, 2000)) for _ in range(300))]:
+        for gone in (0, n // 10, n // 5):
+            own = fresh(n)
+            more = 0
+            while 10 * (len(own) - gone) >= 8 * (len(own) + more + 1):
+                more += 1
+            other = np.union1d(rng.permutation(own)[gone:], fresh(more))
+            if len(other) > nearsets._SHORT and gone + more:
+                assert len(np.intersect1d(parts.keys(own), parts.keys(other)))
+    passage = fresh(20)
+    keys = [parts.keys(np.union1d(passage, fresh(100))) for _ in range(200)]
+    _, counts = np.unique(np.concatenate(keys), return_counts=True)
+    assert len(keys[0]) < 100 and (counts * (counts - 1) / 2).sum() < 200 * 199 / 2
+    few = np.array([k for k in range(1 << 16) if k % 7 == 0][:40], np.uint64)
+    assert len(np.intersect1d(parts.keys(few), parts.keys(few[4:])))
+
+
+def test_what_stars_leave_is_compared_by_blocks(spark, monkeypatch):
+    """Only pairs that can be similar become rows, however large the bucket; blocks and batches change nothing."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(0, 1 << 63, 16)
+    rows = []
+    for i in range(60):
+        flips = np.zeros(1024, np.uint8)
+        flips[rng.permutation(1024)[: int(rng.integers(0, 14))]] = 1
+        rows.append((1 if i < 50 else 2, i, int(rng.choice([100, 100, 90, -100, 70])), i % 25, (base ^ np.packbits(flips).view(np.int64)).tolist()))
+    rows.append((3, 100, 100, 100, base.tolist()))
+    apart = lambda a, b: sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(a[4], b[4]))
+
+    def passes(a, b):
+        n, m = abs(a[2]), abs(b[2])
+        plain = (a[2] > 0 if n <= m else True) and (b[2] > 0 if m <= n else True)
+        return a[0] == b[0] and a[3] != b[3] and min(n, m) >= 0.8 * max(n, m) and plain and apart(a, b) <= 0.2 / 1.8 * (n + m)
+
+    want = {(b[1], a[1]) for i, b in enumerate(rows) for a in rows[:i] if passes(a, b)}
+    counts = {s: sum(r[0] == s for r in rows) for s in (1, 2, 3)}
+    buckets = spark.createDataFrame([(r[0], r[1], r[2], r[3], float(counts[r[0]])) for r in rows], "s long, node long, n long, label long, rows double")
+    nodes = spark.createDataFrame([(r[1], r[4]) for r in rows], "node long, bits array<long>")
+    assert 0 < len(want) < 1225
+    for block, batch in ((4096, 10000), (7, 10000), (4096, 3), (7, 2), (1, 10000)):
+        monkeypatch.setattr(nearsets, "_BLOCK", block)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+        try:
+            got = [tuple(r) for r in nearsets._within(buckets, nodes, 0.8).collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        assert set(got) == want and len(got) == len(want)
