@@ -439,4 +439,5 @@ def representatives(docs: DataFrame, key: str = "doc_id", similarity: float = SI
     labelled = nodes.join(found, "node", "left").select("least", F.coalesce("component", "node").alias("component"))
     heads = keep(labelled.groupBy("component").agg(F.min("least").alias("least")).select(F.col("least.row").alias("__row")))
     forget(found, nodes)
-    return _numbered(docs).join(heads, "__row", "left_semi").drop("__row")
+    few = heads.count() <= _BROADCAST_ROWS
+    return _numbered(docs).join(F.broadcast(heads) if few else heads, "__row", "left_semi").drop("__row")

@@ -174,3 +174,14 @@ def test_what_stars_leave_is_compared_by_blocks(spark, monkeypatch):
         finally:
             spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         assert set(got) == want and len(got) == len(want)
+
+
+def test_texts_are_not_sent_to_find_those_that_stay(spark, monkeypatch, tmp_path):
+    docs(spark, ["a b c", "d e f", "a b c"]).write.parquet(f"{tmp_path}/d")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = nearsets.representatives(spark.read.parquet(f"{tmp_path}/d"))
+        assert "BroadcastHashJoin" in kept._jdf.queryExecution().executedPlan().toString()
+        assert sorted(r.doc_id for r in kept.collect()) == [0, 1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
